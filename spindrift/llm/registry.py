@@ -1,7 +1,7 @@
 """The corpus operators' queries and their SQL."""
 
-from spindrift.llm import tokenids, topk, urlfilter
+from spindrift.llm import tokenids, topk, toxicity, urlfilter
 
-MODULES = (tokenids, topk, urlfilter)
+MODULES = (tokenids, topk, toxicity, urlfilter)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 QUERY_SQL = {k: v for m in MODULES for k, v in m.QUERY_SQL.items()}
