@@ -69,31 +69,36 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _large_star(e: DataFrame) -> DataFrame:
+    """Larger neighbours of a node move to its smallest neighbour, or to the node itself where it is smaller."""
+    both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small_star(e: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours move to the smallest of them."""
+    both = e.join(e.groupBy("u").agg(F.min("v").alias("m")), "u")
+    return both.select("u", F.col("m").alias("v")).unionByName(both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+
+
 def components(edges: DataFrame, stages: Stages, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """Connected components of ``a, b`` (long): rows ``id, component`` with the smallest id of each component.
 
     Alternating large-star and small-star steps: each needs a minimum per node
     (combined before the shuffle) and an equi-join, so hubs are neither gathered
-    nor replicated. Every round is a written stage. Ends when the links no
-    longer change; the links then are stars around the components' minima.
+    nor replicated. Every round is a written stage. Ends when the links are
+    stars around the components' minima.
     Ids without a link are not returned. Null ids link nothing.
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = stages.put(e, f"{name}0")
-    mark = None
     for k in range(1, max_rounds):
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        e = stages.put(small, f"{name}{k}")
+        e = stages.put(_small_star(_large_star(e)), f"{name}{k}")
         stages.drop(f"{name}{k - 1}")
-        now = tuple(e.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
-        if now == mark:
+        # Settled: every node has one link, to a node that has none: stars around the minima.
+        if e.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty() and e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
             break
-        mark = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(

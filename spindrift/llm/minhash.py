@@ -8,8 +8,9 @@
    over partitions). Neighbours in a tree that share at least ``depth`` leading
    minima are candidates.
 3. Candidates are verified on the full shingle sets of their texts. Of the
-   candidates that would join two groups, each document verifies its most similar one
-   at a time, so a group of n near copies costs about n verifications.
+   candidates each document first verifies its most similar one, then each pair of
+   components its most similar ones until one holds or all have failed, so a
+   group of n near copies costs about n verifications.
 4. Regions (documents under one prefix of ``depth`` minima) that still hold
    several components are looked at in full: the depth adapts to what is left, as
    regions of one component need nothing more. There every pair of different
@@ -241,28 +242,38 @@ class _Links:
 
     def __init__(self, stages: Stages, texts: DataFrame, words: int, percent: int):
         self.stages, self.texts, self.words, self.percent, self.k = stages, texts, words, percent, 0
-        spark = texts.sparkSession
-        self.links = spark.createDataFrame([], "a long, b long")
-        self.comp = spark.createDataFrame([], "id long, component long")
+        self.comp = texts.sparkSession.createDataFrame([], "id long, component long")
 
     def settle(self, cand: DataFrame) -> None:
+        tried = 0
         while True:
             s, k = self.stages, self.k
             self.k += 1
             ca, cb = (self.comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
             both = cand.join(ca, "a", "left").join(cb, "b", "left")
-            apart = s.put(both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "same"), f"apart{k}")
+            ga, gb = F.coalesce("ca", "a"), F.coalesce("cb", "b")
+            apart = s.put(both.where(ga != gb).select("a", "b", "same", F.least(ga, gb).alias("lo"), F.greatest(ga, gb).alias("hi")), f"apart{k}")
             if apart.isEmpty():
                 return
-            best = F.max(F.struct("same", -F.col("a"), -F.col("b"))).alias("x")
-            ends = apart.select("a", "b", "same", F.explode(F.array("a", "b")).alias("v"))
-            picked = ends.groupBy("v").agg(best).select((-F.col("x.col2")).alias("a"), (-F.col("x.col3")).alias("b")).distinct()
+            if k == 0:  # all are alone: each document's most similar candidate
+                best = F.max(F.struct("same", -F.col("a"), -F.col("b"))).alias("x")
+                ends = apart.select("a", "b", "same", F.explode(F.array("a", "b")).alias("v"))
+                picked = ends.groupBy("v").agg(best).select((-F.col("x.col2")).alias("a"), (-F.col("x.col3")).alias("b")).distinct()
+            else:  # one and, while they fail, ever more candidates for each pair of components
+                rank = F.row_number().over(Window.partitionBy("lo", "hi").orderBy(F.desc("same"), "a", "b"))
+                picked = apart.withColumn("rank", rank).where(F.col("rank") <= 4**tried).select("a", "b")
+                tried += 1
             ta, tb = (self.texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in ("a", "b"))
             pairs = picked.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
             checked = s.put(pairs.mapInArrow(_verify(self.words, self.percent), "a long, b long, ok boolean"), f"checked{k}")
-            self.links = s.put(self.links.unionByName(checked.where("ok").select("a", "b")), f"links{k}")
-            self.comp = components(self.links, s, f"cc{k}-")
-            cand = s.put(apart.join(checked.select("a", "b").distinct(), ["a", "b"], "left_anti"), f"left{k}")
+            # Links join components: only those of this round are contracted, then every id follows its component.
+            ok = checked.where("ok").join(ca, "a", "left").join(cb, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+            if not ok.isEmpty():
+                moved = components(ok, s, f"cc{k}-")
+                follow = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+                old = self.comp.join(follow, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+                self.comp = s.put(old.unionByName(moved.join(old.select("id"), "id", "left_anti")), f"comp{k}")
+            cand = s.put(apart.select("a", "b", "same").join(checked.select("a", "b").distinct(), ["a", "b"], "left_anti"), f"left{k}")
             s.drop(f"apart{k}", f"checked{k}", f"left{k - 1}")
             s.release()
 
