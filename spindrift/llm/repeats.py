@@ -9,7 +9,7 @@ document with a smaller id.
    (false positives cost work, not correctness).
 2. A second pass cuts each text into strings: runs of windows with one such
    minimizer. Equal strings are aggregated (smallest and largest document) before they
-   are indexed, and occurrences are kept as hashes and places.
+   are moved and indexed, and occurrences are kept as hashes and places.
 3. The distinct strings are dealt by minimizer to buckets. For each bucket the suffixes
    are sorted to the depth of a window, the Burrows-Wheeler transform is
    run-length compressed, and its depth-``length`` intervals get the smallest document of
@@ -110,10 +110,14 @@ def _first_pass(length: int, bits: int):
 
         def flush() -> pa.RecordBatch:
             m, lo, hi = _two_texts(np.concatenate(ms), np.concatenate(ts))
-            bucket = (m >> np.uint64(64 - bits)).astype("i8")  # m ascends, so buckets do
-            cut = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-            rows = [(b, m[i:j].tobytes(), lo[i:j].tobytes(), hi[i:j].tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if j > i]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))], ["bucket", "m", "lo", "hi"])
+            two = lo != hi
+            m, t = np.concatenate([m, m[two]]), np.concatenate([lo, hi[two]])
+            order = np.argsort(m)
+            m, t = m[order], t[order]
+            cut = np.searchsorted((m >> np.uint64(64 - bits)).astype("i8"), np.arange((1 << bits) + 1))
+            low = (m >> np.uint64(32 - bits)).astype("u4")  # the 32 bits behind the bucket's
+            rows = [(b, low[i:j].tobytes(), t[i:j].tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if j > i]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], ["bucket", "m", "t"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -125,7 +129,7 @@ def _first_pass(length: int, bits: int):
                     ms.append(m)
                     ts.append(np.full(len(m), mark, "u8"))
                     n += len(m)
-                if n > 3_000_000:
+                if n > 1_500_000:
                     yield flush()
                     ms, ts, n = [], [], 0
         if ms:
@@ -138,11 +142,10 @@ def _bitmap(bits: int, size: int):
     """A bucket's part of the bit map of minimizers with two texts."""
 
     def run(table: pa.Table) -> pa.Table:
-        m, lo, hi = (np.frombuffer(b"".join(table.column(c).to_pylist()), "u8") for c in ("m", "lo", "hi"))
+        m, t = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("m", "u4"), ("t", "u8")))
         bucket = table.column("bucket")[0].as_py()
-        both = np.concatenate([m, m])
-        m, lo, hi = _two_texts(both, np.concatenate([lo, hi]))
-        at = (m[lo != hi] >> np.uint64(64 - size)).astype("i8") - (bucket << (size - bits))
+        m, lo, hi = _two_texts(m, t)
+        at = (m[lo != hi] >> np.uint32(32 - (size - bits))).astype("i8")
         part = np.zeros(1 << (size - bits), "u1")
         part[at] = 1
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([zstandard.compress(np.packbits(part, bitorder="little").tobytes(), 1)], pa.binary())})
@@ -153,8 +156,8 @@ def _bitmap(bits: int, size: int):
 _MAPS: dict[str, np.ndarray] = {}
 
 
-def _second_pass(length: int, name: str, shared, bits: int, size: int):
-    """Occurrences ``m, h, id, pos``; the first of a string in a batch carries it, with the batch's least and greatest id."""
+def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets: int):
+    """Occurrences ``m, h, id, pos``; and, for each bucket, the distinct strings of a flush with their least and greatest ids, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _MAPS:
@@ -165,8 +168,30 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int):
                 full[b * step : (b + 1) * step] = np.frombuffer(zstandard.decompress(part), "u1")
             _MAPS[name] = full
         bitmap = _MAPS[name]
+        ms, hs, ids, ps, own = [], [], [], [], {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            n, kinds = len(ms), [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            names = ["m", "h", "id", "pos", "bucket", "strings"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ms, hs, ids, ps), kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[4:]], names)
+            keys = np.array(list(own), "i8").reshape(-1, 2)
+            rest = list(own.values())
+            bucket = keys[:, 0] >> 8 & 0x7FFFFFFF
+            bucket %= n_buckets
+            order = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            rows = []
+            for b in np.flatnonzero(np.diff(cut)):
+                x = order[cut[b] : cut[b + 1]]
+                s, lo, hi = zip(*(rest[i] for i in x), strict=True)
+                parts = (keys[x], np.array(lo, "i8"), np.array(hi, "i8"), np.array([len(y) for y in s], "u4"))
+                raw = len(x).to_bytes(8, "little") + b"".join(y.tobytes() for y in parts) + b"".join(s)
+                rows.append((int(b), zstandard.compress(raw, 3)))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), k) for k in kinds[:4]] + [pa.array([r[i] for r in rows], kinds[4 + i]) for i in (0, 1)], names)
+            for x in (ms, hs, ids, ps, own):
+                x.clear()
+
         for batch in batches:
-            ms, hs, ids, ps, own = [], [], [], [], {}
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = _bytes(text)
                 if i is None or len(raw) < length:
@@ -192,17 +217,32 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int):
                     ms += keys
                     ps += starts
                     ids += [i] * len(starts)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ms + [k for k, _ in own], kinds[0]), pa.array(hs + [h for _, h in own], kinds[1]),
-                pa.array(ids + [x[1] for x in own.values()], kinds[2]), pa.array(ps + [-1] * len(own), kinds[3]),
-                pa.concat_arrays([pa.nulls(len(ms), kinds[4]), pa.array([x[0] for x in own.values()], kinds[4])]),
-                pa.concat_arrays([pa.nulls(len(ms), kinds[5]), pa.array([x[2] for x in own.values()], kinds[5])]),
-            ], ["m", "h", "id", "pos", "s", "last"])
+                if len(ms) > 150_000:
+                    yield from flush()
+        if ms:
+            yield from flush()
 
     return run
 
 
+def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Keys, strings, least and greatest ids, each string once."""
+    own: dict[tuple[int, int], list] = {}
+    for p in packed:
+        raw = zstandard.decompress(p)
+        n = int.from_bytes(raw[:8], "little")
+        keys, lo, hi = np.frombuffer(raw, "i8", 2 * n, 8).reshape(-1, 2), np.frombuffer(raw, "i8", n, 8 + 16 * n), np.frombuffer(raw, "i8", n, 8 + 24 * n)
+        at = 8 + 36 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "u4", n, 8 + 32 * n).astype("i8"))])
+        for m, h, a, b, i, j in zip(*keys.T.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), strict=False):
+            x = own.get((m, h))
+            if x is None:
+                own[m, h] = [raw[a:b], i, j]
+            else:
+                x[1], x[2] = min(x[1], i), max(x[2], j)
+    rest = list(own.values())
+    return np.array(list(own), "i8"), [x[0] for x in rest], np.array([x[1] for x in rest], "i8"), np.array([x[2] for x in rest], "i8")
+
+
 class RunLengthIndex:
     """Run-compressed Burrows-Wheeler transform of strings, sorted to a depth, with the least document of each interval of that depth."""
 
@@ -269,8 +309,7 @@ class RunLengthIndex:
 
 def _index(length: int):
     def run(table: pa.Table) -> pa.Table:
-        strings = table.column("s").to_pylist()
-        lo, hi = (table.column(c).to_numpy() for c in ("lo", "hi"))
+        keys, strings, lo, hi = _unpack(table.column("strings").to_pylist())
         index = RunLengthIndex(strings, lo, length)
         parts = list(index.stream(np.array([len(s) for s in strings])))
         who, off, low = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -280,8 +319,8 @@ def _index(length: int):
         who, off, low = who[order], off[order], low[order]
         first = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (off[1:] != off[:-1] + 1) | (low[1:] != low[:-1])])) if len(who) else np.empty(0, "i8")
         stop = np.append(first[1:], len(who)) - 1 if len(first) else first
-        m, h = (table.column(c).to_numpy() for c in ("m", "h"))
-        return pa.table({"m": m[who[first]], "h": h[who[first]], "a": off[first], "b": off[stop] + length, "low": low[first]})
+        own = keys[who[first]]
+        return pa.table({"m": np.ascontiguousarray(own[:, 0]), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first]})
 
     return run
 
@@ -327,19 +366,17 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     total = light.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     size = min(max_bits, max(20, int(total).bit_length()))
     bits = min(size - 6, max(2, (partitions(spark) - 1).bit_length()))
-    packed = own.where("id is not null").select("t").mapInArrow(_first_pass(length, bits), "bucket int, m binary, lo binary, hi binary")
+    packed = own.where("id is not null").select("t").mapInArrow(_first_pass(length, bits), "bucket int, m binary, t binary")
     parts = packed.groupBy("bucket").applyInArrow(_bitmap(bits, size), "bucket int, part binary").collect()  # 2^max_bits bits together at most, compressed
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
-    seen = stages.put(own.mapInArrow(_second_pass(length, stages.root, shared, bits, size), "m long, h long, id long, pos long, s binary, last long"), "seen")
+    del packed, parts
     stages.release()
-    strings = seen.where("pos < 0").groupBy("m", "h").agg(F.first("s").alias("s"), F.min("id").alias("lo"), F.max("last").alias("hi"))
-    strings = stages.put(strings, "strings")
-    volume = strings.agg(F.coalesce(F.sum(F.length("s") + 1), F.lit(0))).first()[0]
-    n = max(1, -(-volume // bucket_bytes))
-    found = strings.withColumn("bucket", F.pmod(F.xxhash64("m"), F.lit(n))).groupBy("bucket").applyInArrow(_index(length), "m long, h long, a long, b long, low long")
+    n = max(1, -(-int(total) // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
+    seen = stages.put(own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n), "m long, h long, id long, pos long, bucket int, strings binary"), "seen")
+    found = seen.where("bucket is not null").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length), "m long, h long, a long, b long, low long")
     found = stages.put(found, "found")
-    stages.drop("strings")
-    spans = seen.where("pos >= 0").select("m", "h", "id", "pos").join(found, ["m", "h"]).where("low < id").select("id", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
+    stages.release()
+    spans = seen.where("pos is not null").select("m", "h", "id", "pos").join(found, ["m", "h"]).where("low < id").select("id", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
     marks = spans.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("marks"))
     copies = light.join(light.groupBy("md5").agg(F.min("id").alias("lo")), "md5").where((F.col("id") > F.col("lo")) & (F.col("n") >= length))
     per_doc = stages.put(marks.join(copies.select("id", F.lit(True).alias("whole")).distinct(), "id", "full"), "marks")
