@@ -353,7 +353,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 22, max_bits: int = 29) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20, max_bits: int = 29) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row.
 
     bucket_bytes: size of an index; max_bits: the bit map has 2^max_bits bits at most.
