@@ -10,10 +10,9 @@ document with a smaller id.
 2. A second pass cuts each text into strings: runs of windows with one such
    minimizer. Equal strings are aggregated (smallest and largest document) before they
    are moved and indexed, and occurrences are kept as hashes and places.
-3. The distinct strings are dealt by minimizer to buckets. For each bucket the suffixes
-   are sorted to the depth of a window, the Burrows-Wheeler transform is
-   run-length compressed, and its depth-``length`` intervals get the smallest document of
-   their suffixes. The strings stream through it backwards from their
+3. The distinct strings are dealt by minimizer to buckets. For each bucket the windows
+   are sorted, their Burrows-Wheeler transform is run-length compressed, and its
+   intervals of equal windows get the smallest document that holds them. The strings stream through it backwards from their
    sampled ends: each step extends the match by one byte with a rank on the runs and caps it at
    ``length``, so that the interval is always that of a whole window. Its smallest document is
    what the window's occurrences are held against.
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 
 from spindrift.llm.common import Stages, partitions
 
-ANCHOR = 16
+ANCHOR = 24
 #: Windows handled at a time; a longer text is cut into overlapping parts.
 PART = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -244,74 +243,69 @@ def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, n
 
 
 class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform of strings, sorted to a depth, with the least document of each interval of that depth."""
+    """Run-compressed Burrows-Wheeler transform of the strings' windows, with the least document of each interval of equal windows.
+
+    Rows are the suffixes that start a window, and of each string the one
+    after its last window, in the order of their first ``depth`` bytes. Every window is thus reached from
+    one row by one backward step; a step counts on the runs and gives the place among the rows so reached.
+    """
+
+    END = 256
 
     def __init__(self, strings: list[bytes], docs: np.ndarray, depth: int):
         sizes = np.array([len(s) for s in strings])
-        self.depth, self.ends = depth, np.cumsum(sizes + 1) - 1
-        text = np.frombuffer(b"\0".join(strings) + b"\0", "u1").astype("i8") + 1
-        text[self.ends] = 0
-        self.text, n = text, len(text)
-        # Suffix order by the first 7, 14, ... bytes, then by depth.
-        padded = np.concatenate([text, np.zeros(7, "i8")])
-        key = np.zeros(n, "i8")
-        for i in range(7):
-            key = key << 9 | padded[i : i + n]
-        rank, known = self._rank(key)[0], 7
-        while known < depth:
-            step = min(known, depth - known)
-            after = np.concatenate([rank[step:], np.zeros(min(step, n), "i8")])[:n]
-            rank, order = self._rank(rank << 32 | after)
-            known += step
-        if depth <= 7:
-            rank, order = self._rank(rank)
-        self.row = np.empty(n, "i8")
-        self.row[order] = np.arange(n)
-        self.start = np.searchsorted(rank[order], np.arange(rank.max() + 1))  # first row of each interval
-        self.interval = rank[order]
-        self.least = np.minimum.reduceat(docs[np.searchsorted(self.ends, order)], self.start)
-        last = text[order - 1]
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        text = np.frombuffer(b"\0".join(strings) + bytes(depth + 1), "u1")
+        n_rows = sizes - depth + 2
+        self.first = np.cumsum(n_rows) - n_rows  # a string's first row, before sorting
+        who = np.repeat(np.arange(len(strings)), n_rows)
+        offset = np.arange(len(who)) - self.first[who]
+        at = begin[who] + offset
+        key = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, depth)[at]).view(f"S{depth}").ravel()
+        order = np.argsort(key)
+        key = key[order]
+        whole = (offset < n_rows[who] - 1)[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        self.start = np.flatnonzero(new)  # first row of each interval
+        self.interval = np.cumsum(new) - 1
+        self.least = np.minimum.reduceat(np.where(whole, docs[who[order]], np.iinfo("i8").max), self.start)
+        self.row = np.empty(len(order), "i8")
+        self.row[order] = np.arange(len(order))
+        self.reached = np.flatnonzero(whole)
+        self.text, self.begin, self.windows = text, begin, n_rows - 1
+        last = np.where(offset[order] > 0, text[at[order] - 1].astype("i8"), self.END)
         edge = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
         self.run_at, self.run_char = edge, last[edge]
-        run_size = np.diff(np.append(edge, n))
+        run_size = np.diff(np.append(edge, len(order)))
         by_char = np.lexsort((np.arange(len(edge)), self.run_char))
         self.key = self.run_char[by_char] * len(edge) + by_char
         self.before = np.concatenate([[0], np.cumsum(run_size[by_char])])  # also counts the smaller characters
 
-    @staticmethod
-    def _rank(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(key)
-        s = key[order]
-        rank = np.empty(len(key), "i8")
-        rank[order] = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
-        return rank, order
-
     def extend(self, row: np.ndarray, char: np.ndarray) -> np.ndarray:
-        """First row of the suffixes that begin with char and go on like the ones from ``row``: one backward step on the runs."""
+        """A row whose window is char and then the start of the window at ``row`` (an interval's first): one backward step on the runs."""
         run = np.searchsorted(self.run_at, row, "right") - 1
         at = np.searchsorted(self.key, char * len(self.run_at) + run)
-        return self.before[at] + np.where(self.run_char[run] == char, row - self.run_at[run], 0)
-
-    def stream(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """The indexed strings backwards, all at once: string numbers, window offsets, the windows' least documents."""
-        begin = self.ends - sizes
-        lanes = np.argsort(-sizes, kind="stable")
-        place = self.ends[lanes] - self.depth
-        row = self.start[self.interval[self.row[place]]]  # sampled ends
+        return self.reached[self.before[at] + np.where(self.run_char[run] == char, row - self.run_at[run], 0)]
+
+    def stream(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The strings backwards, all at once: string numbers, window offsets, the windows' least documents."""
+        lanes = np.argsort(-self.windows, kind="stable")
+        place = self.windows[lanes] - 1
+        row = self.start[self.interval[self.row[self.first[lanes] + place]]]  # sampled ends
         while len(lanes):
-            yield lanes, place - begin[lanes], self.least[self.interval[row]]
+            yield lanes, place, self.least[self.interval[row]]
             place = place - 1
-            left = place >= begin[lanes]
+            left = place >= 0
             lanes, place, row = lanes[left], place[left], row[left]
             if len(lanes):
-                row = self.start[self.interval[self.extend(row, self.text[place])]]
+                row = self.start[self.interval[self.extend(row, self.text[self.begin[lanes] + place].astype("i8"))]]
 
 
 def _index(length: int):
     def run(table: pa.Table) -> pa.Table:
         keys, strings, lo, hi = _unpack(table.column("strings").to_pylist())
         index = RunLengthIndex(strings, lo, length)
-        parts = list(index.stream(np.array([len(s) for s in strings])))
+        parts = list(index.stream())
         who, off, low = (np.concatenate([p[i] for p in parts]) for i in range(3))
         keep = low < hi[who]
         who, off, low = who[keep], off[keep], low[keep]
