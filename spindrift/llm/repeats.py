@@ -41,7 +41,7 @@ from spindrift.llm.common import Stages, partitions
 
 ANCHOR = 24
 #: Windows handled at a time; a longer text is cut into overlapping parts.
-PART = 1 << 20
+PART = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype="u8")
@@ -119,7 +119,7 @@ def _first_pass(length: int, bits: int):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], ["bucket", "m", "t"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in map(pa.Scalar.as_py, batch.column(0)):
                 raw = _bytes(text)
                 if len(raw) < length:
                     continue
@@ -128,7 +128,7 @@ def _first_pass(length: int, bits: int):
                     ms.append(m)
                     ts.append(np.full(len(m), mark, "u8"))
                     n += len(m)
-                if n > 1_500_000:
+                if n > 400_000:
                     yield flush()
                     ms, ts, n = [], [], 0
         if ms:
@@ -191,7 +191,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                 x.clear()
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, text in zip(batch.column(0).to_pylist(), map(pa.Scalar.as_py, batch.column(1)), strict=True):
                 raw = _bytes(text)
                 if i is None or len(raw) < length:
                     continue
@@ -216,7 +216,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                     ms += keys
                     ps += starts
                     ids += [i] * len(starts)
-                if len(ms) > 150_000:
+                if len(ms) > 60_000:
                     yield from flush()
         if ms:
             yield from flush()
