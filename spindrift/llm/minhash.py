@@ -13,7 +13,8 @@
    group of n near copies costs about n verifications.
 4. Regions (documents under one prefix of ``depth`` minima) that still hold
    several components are looked at in full: the depth adapts to what is left, as
-   regions of one component need nothing more. There every pair of different
+   regions of one component need nothing more. First the members meet the
+   document nearest to their commonest minima, then every pair of different
    components whose signatures and sizes allow the wanted similarity is a
    candidate, in blocks where a region is large, and goes to step 3.
 
@@ -155,6 +156,32 @@ def _edges(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["a", "b", "same", "k", "sig"])
 
 
+def _centres(least: int):
+    """The document nearest to the commonest minima of a block, with each member of another component it may be similar to; and by itself, with the block's place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for p, c, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                ids, comp = (rows.values.field(x).to_numpy(zero_copy_only=False) for x in ("id", "comp"))
+                sig = np.frombuffer(b"".join(rows.values.field("sig").to_pylist()), "u4").reshape(-1, SIZE)
+                low = np.sort(sig, axis=0)
+                run_end = np.vstack([low[1:] != low[:-1], np.ones((1, SIZE), bool)])
+                common = np.empty(SIZE, "u4")
+                for j in range(SIZE):
+                    ends = np.flatnonzero(run_end[:, j])
+                    common[j] = low[ends[np.diff(ends, prepend=-1).argmax()], j]
+                near = (sig == common).sum(1)
+                at = int(np.lexsort((ids, -near))[0])
+                same = (sig == sig[at]).sum(1)
+                for k in np.flatnonzero((comp != comp[at]) & (same >= least)):
+                    out.append((int(min(ids[k], ids[at])), int(max(ids[k], ids[at])), int(same[k]), p, c))
+                out.append((int(ids[at]), None, None, p, c))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate([pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()])], ["a", "b", "same", "p", "c"])
+
+    return run
+
+
 def _across(percent: int, least: int):
     """Pairs of different components within a block pair of a region that size and signature allow."""
 
@@ -215,18 +242,30 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     state = _Links(stages, texts, words, percent)
     state.settle(cand)
     comp = state.comp
-    # Regions with several components.
-    open_ = (
-        forest.join(comp, "id", "left").select("p", "id", F.coalesce("component", "id").alias("comp"))
-    )
-    regions = open_.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("p", "m")
-    rest = open_.join(regions, "p").join(sigs, "id").withColumn("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)).cast("int"))
-    blocks = stages.put(rest.groupBy("p", "c", "m").agg(F.collect_list(F.struct("id", "comp", "n", "sig")).alias("rows")), "blocks")
+    def open_blocks(stage: str) -> DataFrame:
+        """Regions with several components, in blocks."""
+        now = forest.join(state.comp, "id", "left").select("p", "id", F.coalesce("component", "id").alias("comp"))
+        regions = now.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("p", "m")
+        rest = now.join(regions, "p").join(sigs, "id").withColumn("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)).cast("int"))
+        return stages.put(rest.groupBy("p", "c", "m").agg(F.collect_list(F.struct("id", "comp", "n", "sig")).alias("rows")), stage)
+
+    # First each block's centre with its members: copies of one text are nearer to it than to each other.
+    centres = stages.put(open_blocks("blocks0").select("p", "c", "rows").mapInArrow(_centres(least), "a long, b long, same int, p long, c int"), "centres")
+    next_ = F.lag("a").over(Window.partitionBy("p").orderBy("c"))
+    chain = centres.where("b is null").withColumn("b", next_).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(SIZE).alias("same"))
+    star = centres.where("b is not null").select("a", "b", "same").unionByName(chain).groupBy("a", "b").agg(F.max("same").alias("same"))
+    star = stages.put(star.join(cand.select("a", "b"), ["a", "b"], "left_anti"), "cand1")
+    stages.drop("blocks0")
+    state.settle(star)
+    # Then whatever is left between components.
+    blocks = open_blocks("blocks1")
     right = blocks.select("p", F.col("c").alias("d"), F.col("rows").alias("right"))
     left = blocks.select("p", "c", F.col("rows").alias("left"), F.explode(F.sequence("c", F.ceil(F.col("m") / block).cast("int") - 1)).alias("d"))
     tiles = left.join(right, ["p", "d"]).select("left", "right")
     more = tiles.mapInArrow(_across(percent, least), "a long, b long, same int, k binary, sig binary").select("a", "b", "same").distinct()
-    state.settle(stages.put(more.join(cand.select("a", "b"), ["a", "b"], "left_anti"), "cand1"))
+    tried = cand.select("a", "b").unionByName(star.select("a", "b"))
+    state.settle(stages.put(more.join(tried, ["a", "b"], "left_anti"), "cand2"))
+    stages.drop("blocks1", "forest", "sigs", "texts")
 
     of_class = reps.join(state.comp, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     return (

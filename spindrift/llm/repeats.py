@@ -119,7 +119,7 @@ def _first_pass(length: int, bits: int):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))], ["bucket", "m", "t"])
 
         for batch in batches:
-            for text in map(pa.Scalar.as_py, batch.column(0)):
+            for text in (x.as_py() for x in batch.column(0)):
                 raw = _bytes(text)
                 if len(raw) < length:
                     continue
@@ -191,7 +191,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                 x.clear()
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), map(pa.Scalar.as_py, batch.column(1)), strict=True):
+            for i, text in zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1)), strict=True):
                 raw = _bytes(text)
                 if i is None or len(raw) < length:
                     continue
