@@ -41,7 +41,7 @@ class Stages:
     def put(self, df: DataFrame, stage: str, partition_by: list[str] | None = None) -> DataFrame:
         writer = df.write.mode("overwrite").option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(stage))
-        return self.get(stage, df.schema if not partition_by else None)
+        return self.get(stage, df.schema)
 
     def get(self, stage: str, schema=None) -> DataFrame:
         reader = self.spark.read
