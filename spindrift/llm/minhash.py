@@ -166,11 +166,9 @@ def _centres(least: int):
                 ids, comp = (rows.values.field(x).to_numpy(zero_copy_only=False) for x in ("id", "comp"))
                 sig = np.frombuffer(b"".join(rows.values.field("sig").to_pylist()), "u4").reshape(-1, SIZE)
                 low = np.sort(sig, axis=0)
-                run_end = np.vstack([low[1:] != low[:-1], np.ones((1, SIZE), bool)])
-                common = np.empty(SIZE, "u4")
-                for j in range(SIZE):
-                    ends = np.flatnonzero(run_end[:, j])
-                    common[j] = low[ends[np.diff(ends, prepend=-1).argmax()], j]
+                place = np.arange(len(low))[:, None]
+                start = np.maximum.accumulate(np.where(np.vstack([np.ones((1, SIZE), bool), low[1:] != low[:-1]]), place, 0), axis=0)
+                common = low[(place - start).argmax(0), np.arange(SIZE)]
                 near = (sig == common).sum(1)
                 at = int(np.lexsort((ids, -near))[0])
                 same = (sig == sig[at]).sum(1)
