@@ -65,7 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: No stage but the row filters can be told in SQL; tests compare with brute force.
+#: No stage but the row filters can be told in SQL; a brute-force comparison of the whole pipeline is still to be written.
 ORACLE_SQL = None
 QUERIES = {"pipeline": run}
 QUERY_SQL: dict[str, str] = {}
