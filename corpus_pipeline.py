@@ -26,8 +26,19 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go, but for the first; n_chars follows the text."""
-    out = linededup.dedup_lines(docs)
+    """Lines of templates that recur in documents that are no near copies of each other go, but for the first; n_chars follows the text.
+
+    Near copies, as the next stage judges them, lose the same lines and so reach it whole.
+    """
+    stages = Stages(spark, "classes")
+    rows = stages.put(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    near = minhash.near_duplicates(rows, id_col="__row", stages=stages)
+    classes = stages.put(near.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__class")), "classes")
+    stages.drop("signed", "reps")
+    classed = stages.put(rows.join(classes, "__row"), "classed")
+    stages.drop("rows", "classes")
+    stages.release()
+    out = linededup.dedup_lines(classed, class_col="__class")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -6,7 +6,10 @@ templates. Within a leaf, lines in the order of their hash join the most similar
 (share of equal tokens at the same place, wildcards not counted as equal) or start a new one; where a
 line differs from its template, the template gets a wildcard. A template that
 occurs in two or more documents is recurring: its first line (smallest document, then line)
-stays, all its other lines are dropped.
+stays, all its other lines are dropped. With a column of copy classes, classes
+take the place of documents: lines that only copies of one text share are not
+recurring, and a recurring line stays once in every document of the class it
+occurs in first, so copies lose the same lines.
 
 Lines travel as hashes: only the distinct masked lines of leaves that hold
 several of them and several documents are fetched, once each, for the
@@ -69,14 +72,15 @@ def _cluster(least: float):
 
 
 def recurring(docs: DataFrame, stages: Stages, depth: int, least: float) -> DataFrame:
-    """``id, th`` (document) and ``drops`` (positions of the lines to drop)."""
-    lines = docs.select("id", "th", F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
+    """``id, th`` (document) and ``drops`` (positions of the lines to drop); ``c``, where docs has it, is the class of copies."""
+    own = [c for c in ("c",) if c in docs.columns]
+    lines = docs.select("id", "th", *own, F.posexplode(F.split("t", "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
     tokens = F.split(F.col("m"), "[ \t\r\x0b\x0c]+")
-    lines = lines.select("id", "th", "pos", masked(F.translate("line", "\t\r\x0b\x0c", "    ")).alias("m")).where("m <> ''").withColumn("tokens", tokens)
+    lines = lines.select("id", "th", "pos", *own, masked(F.translate("line", "\t\r\x0b\x0c", "    ")).alias("m")).where("m <> ''").withColumn("tokens", tokens)
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
-    light = stages.put(lines.select("id", "th", "pos", leaf.alias("leaf"), F.xxhash64(F.array_join("tokens", " ")).alias("h")), "light")
-    doc = F.struct("id", "th")
-    one = light.groupBy("leaf", "h").agg(F.min(F.struct("id", "th", "pos")).alias("first"), F.min(doc).alias("lo"), F.max(doc).alias("hi"))
+    light = stages.put(lines.select("id", "th", "pos", *own, leaf.alias("leaf"), F.xxhash64(F.array_join("tokens", " ")).alias("h")), "light")
+    doc = F.struct(F.coalesce("c", "id").alias("id"), F.when(F.col("c").isNull(), F.col("th")).alias("th")) if own else F.struct("id", "th")
+    one = light.groupBy("leaf", "h").agg(F.min(F.struct("id", "th", "pos", *own)).alias("first"), F.min(doc).alias("lo"), F.max(doc).alias("hi"))
     one = stages.put(one, "lines")
     crowded = one.groupBy("leaf").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 and lo <> hi").select("leaf")
     wanted = one.join(crowded, "leaf").select("leaf", "h", "first.id", "first.th", "first.pos")
@@ -88,23 +92,32 @@ def recurring(docs: DataFrame, stages: Stages, depth: int, least: float) -> Data
     # Lines of leaves that needed no matching are templates by themselves.
     named = one.join(found, ["leaf", "h"], "left").withColumn("template", F.coalesce("template", F.lit(-1)))
     often = named.groupBy("leaf", "template").agg(F.min("first").alias("first"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi")
-    keys = stages.put(named.select("leaf", "h", "template").join(often.select("leaf", "template", F.col("first").alias("keep")), ["leaf", "template"]).select("leaf", "h", "keep"), "keys")
-    gone = light.join(keys, ["leaf", "h"]).where(F.struct("id", "th", "pos") != F.col("keep")).select("id", "th", "pos").distinct()
+    keys = stages.put(named.select("leaf", "h", "template").join(often.select("leaf", "template", F.col("first").alias("keep")), ["leaf", "template"]).select("leaf", "h", "template", "keep"), "keys")
+    found = light.join(keys, ["leaf", "h"])
+    if own:
+        same = F.coalesce(F.col("c") == F.col("keep.c"), F.lit(False)) | ((F.col("id") == F.col("keep.id")) & (F.col("th") == F.col("keep.th")))
+        first = found.where(same).groupBy("id", "th", "leaf", "template").agg(F.min("pos").alias("at"), F.collect_set("pos").alias("all"))
+        again = first.select("id", "th", F.explode(F.array_remove("all", F.col("at"))).alias("pos"))
+        gone = found.where(~same).select("id", "th", "pos").unionByName(again).distinct()
+    else:
+        gone = found.where(F.struct("id", "th", "pos") != F.col("keep")).select("id", "th", "pos").distinct()
     out = stages.put(gone.groupBy("id", "th").agg(F.collect_set("pos").alias("drops")), "drops")
     stages.drop("light", "lines", "templates", "keys")
     stages.release()
     return out
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", depth: int = 4, similarity: float = 0.75, stages: Stages | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None, depth: int = 4, similarity: float = 0.75, stages: Stages | None = None) -> DataFrame:
     """All rows and columns with recurring lines taken out of the text; adds ``n_lines`` and ``n_dropped``.
 
+    class_col: class of copies (long; equal for rows that repeat id and text; null: the document by itself);
     depth: leading tokens below the token count; similarity: share of equal
     tokens that joins a line to a template.
     """
     stages = stages or Stages(docs.sparkSession, "linededup")
     id_, th = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce(text_col, F.lit("")))
-    drops = recurring(docs.select(id_.alias("id"), th.alias("th"), F.col(text_col).alias("t")), stages, depth, similarity)
+    own = [F.col(class_col).cast("long").alias("c")] if class_col else []
+    drops = recurring(docs.select(id_.alias("id"), th.alias("th"), F.col(text_col).alias("t"), *own), stages, depth, similarity)
     drops = drops.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("drops").alias("__drops"))
     keyed = docs.withColumn("__id", id_).withColumn("__th", th)
     parts = F.split(text_col, "\n", -1)

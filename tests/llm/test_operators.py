@@ -250,3 +250,34 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in got} <= set(docs) and max(r.bin_offset + r.n_tokens for r in got) <= 4096
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def planted(spark, folder, rows, labels):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_keeps_one_of_each_copy_group(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd, rows = random.Random(8), []
+    line = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    common = line(6)
+    for g in range(12):
+        # Every third group has a single line; a near copy has other words at one place.
+        lines = [line(60)] if g % 3 == 0 else [line(12) for _ in range(8)] + [common]
+        near = [lines[0].rsplit(" ", 1)[0] + " " + line(1), *lines[1:]]
+        texts = ["\n".join(x) for x in (lines, lines, near, lines)]
+        rows += [(100 * g + k, t, "en", f"s{k}", len(t)) for k, t in enumerate(texts)]
+    folder = planted(spark, tmp_path, rows, [(r[0], 1, 0) for r in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, folder)
+    left = {r.doc_id: r for r in docs.collect()}
+    text = {r[0]: r[1] for r in rows}
+    assert sorted(left) == [100 * g for g in range(12)]
+    # Recurring over groups, the common line stays in the first of them alone.
+    assert all(r.text == (text[i] if i % 300 == 0 or i == 100 else text[i].removesuffix("\n" + common)) and r.n_chars == len(r.text) for i, r in left.items())
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert sorted(r.doc_id for r in got) == sorted(left) and all(r.n_tokens > 0 and r.bin_id is not None for r in got)
