@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 and read again as the next one's docs. All but the last return the columns of
-their docs. Rows with a null doc_id can't be rejected by id and stay.
+their docs. Decisions are made for each row, so repeated and null ids do not
+matter.
 """
 
 from __future__ import annotations
@@ -19,10 +20,17 @@ CAPACITY = 4096
 WEIGHTS = {"good": 0.95, "poor": 0.05}
 
 
+def numbered(docs: DataFrame, stages: Stages) -> DataFrame:
+    """Docs with a number for each row, written so that it stays the same."""
+    return stages.put(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of TOXIC_FROM or more go."""
-    scores = toxicity.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(scores.where(F.col("score") >= TOXIC_FROM).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    rows = numbered(docs, Stages(spark, "toxic"))
+    scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col="__row")
+    gone = scores.where(F.col("score") >= TOXIC_FROM).select(F.col("row").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +39,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Near copies, as the next stage judges them, lose the same lines and so reach it whole.
     """
     stages = Stages(spark, "classes")
-    rows = stages.put(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    rows = numbered(docs, stages)
     near = minhash.near_duplicates(rows, id_col="__row", stages=stages)
     classes = stages.put(near.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__class")), "classes")
     stages.drop("signed", "reps")
@@ -43,9 +51,14 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near duplicates one row with the smallest id stays (null only where all are), as does one of the rows that repeat an id and a blank text."""
+    rows = numbered(docs, Stages(spark, "near"))
+    near = minhash.near_duplicates(rows, id_col="__row").withColumnRenamed("doc_id", "__row")
+    ids = rows.select("__row", "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    group = F.when((F.col("n_shingles") > 0) | F.col("doc_id").isNull(), F.col("component_id"))
+    keys = [group.alias("g"), F.when(group.isNull(), F.col("doc_id")).alias("i"), F.when(group.isNull(), F.col("th")).alias("h")]
+    first = near.join(ids, "__row").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"))
+    return rows.join(first.select("first.__row"), "__row", "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,6 +103,7 @@ def _note(terms: dict[str, int]):
             yield pa.record_batch({
                 "doc_id": batch.column(0), "hits": pa.array(hits, pa.list_(pa.int32())), "n_words": pa.array(n_words, pa.int32()),
                 "n_hits": pa.array(n_hits, pa.int32()), "shout": pa.array(shout, pa.bool_()), "marks": pa.array(marks, pa.int32()),
+                **dict(zip(batch.schema.names[2:], batch.columns[2:], strict=True)),
             })
 
     return run
@@ -215,20 +216,21 @@ def _scores(weights: np.ndarray, bias: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z = np.array([weights[h].sum() if h else weights[n] for h in batch.column(1).to_pylist()]) + bias
-            yield pa.record_batch({"doc_id": batch.column(0), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))})
+            yield pa.record_batch({"doc_id": batch.column(0), **dict(zip(batch.schema.names[2:], batch.columns[2:], strict=True)), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))})
 
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = 20_000, max_terms: int = 2000, min_share: float = 0.02, n_voters: int = 40, max_train: int = 40_000, stages: Stages | None = None) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", row_col: str | None = None, max_labelled: int = 20_000, max_terms: int = 2000, min_share: float = 0.02, n_voters: int = 40, max_train: int = 40_000, stages: Stages | None = None) -> DataFrame:
     """``doc_id, score`` for every row.
 
+    row_col: number of a row (long), in the result as ``row``, where ids repeat or are null;
     max_labelled: labelled rows that terms are learnt from, the smallest by a hash
     of the id; min_share: share of the toxic ones that a term must occur in; max_train: documents, chosen alike, for the classifier.
     """
     spark = docs.sparkSession
     stages = stages or Stages(spark, "toxicity")
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(row_col).cast("long").alias("row")] if row_col else []))
     known = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
         .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out("doc_id"))
@@ -245,9 +247,10 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     rows = counts.where((sure >= 0.7) & (F.col("k") >= max(4, min_share * n_toxic))).orderBy(F.desc("k"), "term").limit(max_terms).collect()  # at most max_terms
     terms = {r["term"]: i for i, r in enumerate(rows)}
     prior = (n_toxic + 1) / (n_known + 4)
-    notes = stages.put(own.mapInArrow(_note(terms), NOTES), "notes")
+    notes = stages.put(own.mapInArrow(_note(terms), f"{NOTES}, row long" if row_col else NOTES), "notes")
+    own = ["row"] if row_col else []
     if not terms:
-        return notes.select("doc_id", F.lit(float(prior)).alias("score"))
+        return notes.select("doc_id", *own, F.lit(float(prior)).alias("score"))
 
     # Voters: the term that covers most toxic documents not covered so far starts each group; the others join the group they share most documents with.
     labelled = notes.join(F.broadcast(known), "doc_id").select("y", *NOTED).collect()  # at most max_labelled rows without texts
@@ -278,7 +281,7 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     train = [*labelled, *train]
     posterior = model.posterior(_votes(np.array([mask_of(r) for r in train], "i8"), m))
     weights, bias = _logistic([r["hits"] for r in train], posterior, len(terms))
-    return notes.select("doc_id", "hits").mapInArrow(_scores(weights, bias), "doc_id long, score double")
+    return notes.select("doc_id", "hits", *own).mapInArrow(_scores(weights, bias), "doc_id long, row long, score double" if row_col else "doc_id long, score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:

@@ -281,3 +281,21 @@ def test_pipeline_keeps_one_of_each_copy_group(spark, tmp_path):
     assert all(r.text == (text[i] if i % 300 == 0 or i == 100 else text[i].removesuffix("\n" + common)) and r.n_chars == len(r.text) for i, r in left.items())
     got = corpus_pipeline.run(spark, folder).collect()
     assert sorted(r.doc_id for r in got) == sorted(left) and all(r.n_tokens > 0 and r.bin_id is not None for r in got)
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(9)
+    say = lambda bad, n=20: " ".join(rnd.choice(["vile", "scum", "filth"] if bad and k % 2 else ["good", "fine", "well", "calm"]) for k in range(n))
+    labelled = [(i, say(i % 3 == 0), "en", "s", 0) for i in range(300)]
+    rows = [(1000, say(False), "en", "s", 0), (1000, say(True), "en", "s", 1), (None, say(True), "en", "s", 1), (None, say(False), "en", "s", 0)]
+    folder = planted(spark, tmp_path, labelled + rows, [(r[0], 1, int(r[0] % 3 == 0)) for r in labelled])
+    got = corpus_pipeline.reject_toxic(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()
+    assert sorted(((r.doc_id or 0), r.n_chars) for r in got if r.doc_id is None or r.doc_id >= 1000) == [(0, 0), (1000, 0)]
+
+    a, b, c, d = (" ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(40)) for _ in range(4))
+    rows = [(7, a), (7, a), (3, b), (7, b), (None, b), (None, c), (None, c), (9, d), (8, ""), (8, ""), (8, None), (6, ""), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.text or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect())
+    assert got == {(7, a): 1, (3, b): 1, (None, c): 1, (9, d): 1, (8, ""): 1, (6, ""): 1, (None, ""): 2}
