@@ -13,9 +13,11 @@ score can't lie below it. Scores are never stored, and memory depends on the
 tile alone, not on either side's size or on how many rows tie. Work is queries
 times candidates, which an exact search of this kind can't avoid.
 
-Edge cases: vectors that are null, empty or hold null, non-finite or over-large
-components (2^23 and above after scaling) take no part, nor do rows with a
-null id; only vectors of equal length are compared; rows that repeat id and
+Scores are exact longs. A component beyond a long after scaling, and a score of
+2^63 - 1 or more in size, raise an error; nothing is left out for its size.
+
+Edge cases: vectors that are null, empty or hold null or non-finite components
+take no part, nor do rows with a null id; only vectors of equal length are compared; rows that repeat id and
 vector count once; every row with the query's id is left out of its
 candidates; a query without candidates, and an empty table, give no rows;
 extra columns are ignored.
@@ -33,14 +35,20 @@ from pyspark.sql import functions as F
 from spindrift.llm.common import Stages, partitions
 
 BINS = 4096
-LIMIT = float(1 << 23)
+MOST = (1 << 63) - 1
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
 def scaled(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """``id, v (array<int>), dim`` of the rows that take part."""
-    whole = F.transform(vector_col, lambda c: F.floor(c.cast("double") * F.lit(float(scale))).cast("int"))
-    fine = F.forall(vector_col, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * scale) < LIMIT))
+    """``id, v (array<long>), dim`` of the rows that take part."""
+    over = F.raise_error(F.lit("top_k: a scaled component exceeds a long")).cast("long")
+
+    def floor(c: Column) -> Column:
+        x = c.cast("double") * F.lit(float(scale))
+        return F.when(F.abs(x) < float(1 << 63), F.floor(x)).otherwise(over)
+
+    whole = F.transform(vector_col, floor)
+    fine = F.forall(vector_col, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
     return (
         df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0))
         .where(F.coalesce(fine, F.lit(False)))
@@ -57,6 +65,15 @@ def _matrix(rows: pa.ListScalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return own.field("id").to_numpy(zero_copy_only=False), flat.reshape(-1, dim)
 
 
+def _widen(score: np.ndarray, q: np.ndarray, c: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> None:
+    """Scores whose bound exceeds 2^62 are made anew with unbounded integers; an error where one is no long."""
+    for i, j in np.argwhere((sizes >= 2.0**62) & ~own):
+        exact = sum(a * b for a, b in zip(q[i].tolist(), c[j].tolist(), strict=True))
+        if abs(exact) >= MOST:
+            raise OverflowError("top_k: a score exceeds a long")
+        score[i, j] = exact
+
+
 def _tiles(batches: Iterator[pa.RecordBatch]):
     """Query ids, intervals, bin widths, missing counts, candidate ids and scores of each tile; an own row scores the least."""
     for batch in batches:
@@ -65,10 +82,14 @@ def _tiles(batches: Iterator[pa.RecordBatch]):
             qs, (c_id, c) = batch.column("qs")[i], _matrix(batch.column("rows")[i], dim)
             q_id, q = _matrix(qs, dim)
             lo, hi, width, need = (qs.values.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi", "width", "need"))
-            most = np.sqrt((q.astype("f8") ** 2).sum(1).max(initial=0)) * np.sqrt((c.astype("f8") ** 2).sum(1).max(initial=0))
+            q_norm, c_norm = (np.sqrt((x.astype("f8") ** 2).sum(1)) for x in (q, c))
+            most = q_norm.max(initial=0) * c_norm.max(initial=0)
             kind = "f8" if most < 2**52 else "i8"
             score = (q.astype(kind) @ c.T.astype(kind)).astype("i8")
-            score[q_id[:, None] == c_id[None, :]] = np.iinfo("i8").min
+            own = q_id[:, None] == c_id[None, :]
+            if most >= 2.0**62:
+                _widen(score, q, c, own, q_norm[:, None] * c_norm[None, :])
+            score[own] = np.iinfo("i8").min
             yield q_id, (lo, hi), width, need, c_id, score
 
 
@@ -78,7 +99,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = score[i][(score[i] >= lo[i]) & (score[i] < hi[i]) & (score[i] > np.iinfo("i8").min)]
             if not len(own):
                 continue
-            at = (own - lo[i]) // width[i]
+            # The distance from the lower end fits an unsigned long.
+            at = ((own.astype("u8") - np.int64(lo[i]).astype("u8")) // np.uint64(width[i])).astype("i8")
             if len(at) > need[i]:
                 at = at[at >= np.partition(at, len(at) - need[i])[len(at) - need[i]]]
             b, n = np.unique(at, return_counts=True)
@@ -123,9 +145,10 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
         .agg(F.collect_list(F.struct("id", "v")).alias("rows"))
     )
     table = stages.put(table, "chunks")
-    norm = F.ceil(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))) + 1
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))) * (1 + 1e-9) + 1
     top = {r["dim"]: r["m"] for r in rows.groupBy("dim").agg(F.max(norm).alias("m")).toLocalIterator()}
-    bound = F.least(norm.cast("double") * of({d: float(top[d]) for d in asked}), F.lit(float(1 << 61))).cast("long") + 1
+    size = norm * of({d: float(top[d]) for d in asked})
+    bound = F.when(size < float(1 << 62), size.cast("long") + 1).otherwise(F.lit(MOST))
     n = max(partitions(spark), -(-sum(chunks[d] * blocks[d] for d in asked) // 4))
 
     def tiles(state: DataFrame) -> DataFrame:
@@ -137,7 +160,7 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
         )
         return blocked.join(table, ["dim", "c"]).repartition(n, F.xxhash64("qs.id", "c"))
 
-    state = queries.select("id", "v", "dim", (-bound).alias("lo"), bound.alias("hi"), F.floor(bound * 2 / BINS + 1).alias("width"), F.lit(k).cast("long").alias("need"))
+    state = queries.select("id", "v", "dim", (-bound).alias("lo"), bound.alias("hi"), F.floor(bound / (BINS // 2) + 1).alias("width"), F.lit(k).cast("long").alias("need"))
     widest = state.agg(F.max("width")).first()[0]
     step = 0
     while widest >= 1:
@@ -151,11 +174,13 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
         hit = F.array_max(F.transform(bins, lambda x: F.struct(x["bin"].alias("bin"), (F.col("need") - x["seen"] + x["n"]).alias("need"))))
         state = state.withColumn("hit", hit)
         # Fewer candidates than k: the interval's lower end stays, so all of them are returned.
+        wide = lambda c: c.cast("decimal(19,0)")
+        edge = lambda b: F.least(wide(F.col("lo")) + wide(b) * wide(F.col("width")), wide(F.col("hi"))).cast("long")
         narrow = F.floor((F.col("width") - 1) / BINS + 1)
         state = state.select(
             "id", "v", "dim",
-            F.when(F.col("hit").isNull(), F.col("lo")).otherwise(F.col("lo") + F.col("hit.bin") * F.col("width")).alias("lo"),
-            F.when(F.col("hit").isNull(), F.col("hi")).otherwise(F.col("lo") + (F.col("hit.bin") + 1) * F.col("width")).alias("hi"),
+            F.when(F.col("hit").isNull(), F.col("lo")).otherwise(edge(F.col("hit.bin"))).alias("lo"),
+            F.when(F.col("hit").isNull(), F.col("hi")).otherwise(edge(F.col("hit.bin") + 1)).alias("hi"),
             F.when(F.col("hit").isNull() | (F.col("width") <= 1), F.lit(1)).otherwise(narrow).cast("long").alias("width"),
             F.coalesce("hit.need", "need").alias("need"),
         )

@@ -299,3 +299,19 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = collections.Counter((r.doc_id, r.text or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect())
     assert got == {(7, a): 1, (3, b): 1, (None, c): 1, (9, d): 1, (8, ""): 1, (6, ""): 1, (None, ""): 2}
+
+
+def test_topk_takes_large_components(spark):
+    rnd = random.Random(10)
+    rows = [(i, [float(rnd.choice([-1, 1]) * rnd.choice([1, 8192, 9000, 70_000, 2_000_000])), float(rnd.randint(-9, 9))]) for i in range(40)]
+    rows += [(100, [2_900_000.0, 0.5]), (101, [2_900_000.0, 0.25]), (102, [-2_900_000.0, 0.25])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), lambda i: i % 20 == 0, 5, chunk=7, query_block=2).collect()
+    v = {i: [int(x * 1024) for x in e] for i, e in rows}
+    want = []
+    for q in (i for i in v if i % 20 == 0):
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[c], strict=True)), c) for c in v if c != q)[:5]
+        want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want) and max(w[3] for w in want) > 1 << 62
+    for big in (1e7, 1e30):
+        with pytest.raises(Exception, match="exceeds a long"):
+            topk.top_k(spark.createDataFrame([(0, [big]), (1, [big])], "vec_id long, embedding array<float>"), lambda i: i == 0).collect()
