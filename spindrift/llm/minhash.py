@@ -12,8 +12,9 @@
    components its most similar ones until one holds or all have failed, so a
    group of n near copies costs about n verifications.
 4. Regions (documents under one prefix of ``depth`` minima) that still hold
-   several components are looked at in full: the depth adapts to what is left, as
-   regions of one component need nothing more. First the members meet the
+   several components are looked at in full, at the same fixed depth: a longer
+   prefix would part pairs at the threshold. Regions of one component need
+   nothing more. First the members meet the
    document nearest to their commonest minima, then every pair of different
    components whose signatures and sizes allow the wanted similarity is a
    candidate, in blocks where a region is large, and goes to step 3.
