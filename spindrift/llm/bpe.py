@@ -1,30 +1,53 @@
-"""Whole texts to token ids with the ``tokenizers`` library, each distinct piece encoded once per worker.
-
-A byte-level BPE splits a text into words before it merges, and a space
-between two non-space characters always starts a new word. The text is cut
-there and the pieces' ids are joined: the same ids as for the whole text, at
-several times the speed. Texts in which a space meets other white space, or which hold an
-added token's string, are cut only where that is safe, or not at all. The
-cut is valid for tokenizers without normalizer whose pre-tokenizer is a ByteLevel
-with its own pattern; for any other file each text is encoded whole.
+"""Whole texts to token ids with the ``tokenizers`` library, each distinct word encoded once per worker.
+
+A byte-level BPE splits a text into words by a fixed pattern and merges within
+each word alone. Here the split is made with the same pattern in Python's ``re``; a word seen
+before takes its ids from a dictionary, a new one goes to the library's model.
+The pattern's classes are those of Unicode letters and numbers, which ``re`` lacks: it splits by word
+characters, and a text in which the two differ (numbers that are no decimal digits, separators
+U+001C to U+001F), or which holds an added token's string, is encoded whole
+by the library, as is every text of a tokenizer with a normalizer or another pre-tokenizer.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 
 import numpy as np
 
-CACHE = 500_000
+#: Words remembered by a worker, and the longest of them.
+CACHE, LONGEST = 800_000, 64
 #: Byte-level alphabet: printable Latin-1 bytes stand for themselves, the others are numbered from U+0100.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _REST = iter(range(256, 512))
-BYTES = [chr(b if b in _PLAIN else next(_REST)) for b in range(256)]
+BYTES = {b: chr(b if b in _PLAIN else next(_REST)) for b in range(256)}
 
-#: Marks that end a word; the apostrophe, which may begin one, is not among them.
-MARKS = ".,;:!?#$%&*()\"-"
+SPLIT = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
+
+
+class _Odd(Exception):
+    """A word that the library splits differently."""
+
+
+class _Words(dict):
+    """Ids of words, as bytes."""
+
+    def __init__(self, model, code: str):
+        self.tokenize, self.code = model.tokenize, code
+
+    def __missing__(self, word: str) -> bytes:
+        core = word[1:] if word[0] == " " and len(word) > 1 else word
+        # Only a match of the first alternative can hold other numbers, only white space a separator.
+        if core.isalnum() and not (core.isalpha() or core.isdecimal()) or core.isspace() and _SEPARATORS(core):
+            raise _Odd
+        ids = array(self.code, [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(BYTES))]).tobytes()
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
 
 
 class Bpe:
@@ -41,74 +64,17 @@ class Bpe:
         self.cuts = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
-        self.model = self.tokenizer.model
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.words = _Words(self.tokenizer.model, {2: "H", 4: "I"}[self.dtype.itemsize])
 
     def ids(self, text: str) -> bytes:
-        if not self.cuts or any(t in text for t in self.added):
-            return self._encode([text])[0]
-        pieces = text.split(" ")
-        for i in range(1, len(pieces)):
-            pieces[i] = " " + pieces[i]
-        get = self.cache.get
-        try:
-            return b"".join(map(get, pieces))
-        except TypeError:
-            missing = [p for p in dict.fromkeys(pieces) if p not in self.cache]
-        if any(p[-1:].isspace() or p[1:2].isspace() or p[:1].isspace() and p[0] != " " for p in missing) or not pieces[0]:
-            return b"".join(self._encode(self._safe(pieces)))
-        return self._fill(pieces, missing)
-
-    def _safe(self, pieces: list[str]) -> list[str]:
-        """Joins pieces again where a cut would lie beside white space."""
-        out: list[str] = []
-        for p in pieces:
-            if out and (not out[-1] or out[-1][-1].isspace() or len(p) < 2 or p[1].isspace()):
-                out[-1] += p
-            else:
-                out.append(p)
-        return out
-
-    def _fill(self, pieces: list[str], missing: list[str]) -> bytes:
-        """A piece of letters and a tail of marks is two words, whose ids are often known already."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-            missing = list(dict.fromkeys(pieces))
-        cache, split, new = self.cache, {}, {}
-        for p in missing:
-            parts = [x for line in p.split("\n") for x in ("\n", line)][1:] if "\n" in p else [p]
-            fine = all(parts) and not any((x[0].isspace() or x[-1].isspace()) and x != "\n" for x in parts[1:]) and not parts[0][-1].isspace() and "\n\n" not in p
-            if not fine:
-                new[p] = None
-                continue
-            words: list[str] = []
-            for x in parts:
-                core = x.rstrip(MARKS)
-                if len(core) < len(x) and core[core[:1] == " " :].isalpha():
-                    words += [core, x[len(core) :]]
-                else:
-                    words.append(x)
-            if len(words) > 1:
-                split[p] = words
-            for w in words:
-                if w not in cache:
-                    new[w] = None
-        if new:
-            rest = []
-            for w in new:
-                if w[w[:1] == " " :].isalpha():  # one word: straight to the library's model
-                    cache[w] = array(self.code, [t.id for t in self.model.tokenize("".join([BYTES[b] for b in w.encode()]))]).tobytes()
-                else:
-                    rest.append(w)
-            if rest:
-                cache.update(zip(rest, self._encode(rest), strict=True))
-        for p, words in split.items():
-            cache[p] = b"".join([cache[w] for w in words])
-        return b"".join([cache[p] for p in pieces])
+        if self.cuts and not any(t in text for t in self.added):
+            if len(self.words) > CACHE:
+                self.words.clear()
+            try:
+                return b"".join(map(self.words.__getitem__, SPLIT(text)))
+            except _Odd:
+                pass
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype).tobytes()
 
 
 _LOADED: dict[str, Bpe] = {}
