@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +14,35 @@ from pyspark.sql import functions as F
 _OWN: list[str] = []
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests, one machine) a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, a temporary one, on a single machine alone."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is unset: stages need a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="shared-"))
     return f"file://{_OWN[0]}"
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: Spark deletes those of a query when it has ended."""
+    before = spark.conf.get(CLEANUP, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 class Stages:
     """Tables that one query writes to the shared folder, so that lost executors cost only the running stage.
 
@@ -40,7 +60,8 @@ class Stages:
 
     def put(self, df: DataFrame, stage: str, partition_by: list[str] | None = None) -> DataFrame:
         writer = df.write.mode("overwrite").option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(stage))
+        with tidy(self.spark):
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(stage))
         return self.get(stage, df.schema)
 
     def get(self, stage: str, schema=None) -> DataFrame:
@@ -51,11 +72,6 @@ class Stages:
         for stage in stages:
             self._remove(self.path(stage))
 
-    def release(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def _remove(self, path: str) -> None:
         try:
             jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
@@ -65,6 +81,25 @@ class Stages:
             pass
 
 
+def kept_names(columns: list[str], added: tuple[str, ...]) -> dict[str, str]:
+    """The names under which a table's own columns stay beside added ones: ``_in`` follows a name until it is free."""
+    taken, out = {c.lower() for c in (*columns, *added)}, {}
+    for c in columns:
+        out[c] = c
+        if c.lower() in {a.lower() for a in added}:
+            while out[c].lower() in taken:
+                out[c] += "_in"
+            taken.add(out[c].lower())
+    return out
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, with as many ``_`` behind it as it takes to be no column's."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

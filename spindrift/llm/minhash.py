@@ -214,7 +214,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     signed = stages.put(own.mapInArrow(_sign(words), "doc_id long, n_shingles long, key binary, sig binary"), "signed")
     reps = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "sig"), "doc_id").alias("r"))
     reps = stages.put(reps.select("key", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), "r.sig"), "reps")
-    stages.release()
     share = percent / 100
     least = int(SIZE * max(0.0, share - 5.5 * (share * (1 - share) / SIZE) ** 0.5))
 
@@ -230,7 +229,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     order = keyed.repartitionByRange(partitions(spark), "k", "id").sortWithinPartitions("k", "id")
     near = stages.put(order.mapInArrow(_neighbours(depth), "a long, b long, same int, k binary, sig binary"), "near")
     stages.drop("keyed")
-    stages.release()
     # Two rows a partition, in order: the seams between partitions.
     seam = Window.orderBy("k", "a")
     ends = near.where("b is null").select("k", "a", "sig", F.lag("a").over(seam).alias("a0"), F.lag("k").over(seam).alias("k0"))
@@ -240,7 +238,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     cand = stages.put(cand, "cand0")
 
     texts = stages.put(own.join(members.withColumnRenamed("id", "doc_id"), "doc_id"), "texts")
-    stages.release()
     state = _Links(stages, texts, words, percent)
     state.settle(cand)
     comp = state.comp
@@ -316,7 +313,6 @@ class _Links:
                 self.comp = s.put(old.unionByName(moved.join(old.select("id"), "id", "left_anti")), f"comp{k}")
             cand = s.put(apart.select("a", "b", "same").join(checked.select("a", "b").distinct(), ["a", "b"], "left_anti"), f"left{k}")
             s.drop(f"apart{k}", f"checked{k}", f"left{k - 1}")
-            s.release()
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -364,7 +364,6 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     parts = packed.groupBy("bucket").applyInArrow(_bitmap(bits, size), "bucket int, part binary").collect()  # 2^max_bits bits together at most, compressed
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
     del packed, parts
-    stages.release()
     n = max(1, -(-int(total) // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
     passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n), "m long, h long, id long, pos long, bucket int, strings binary")
     seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
@@ -372,13 +371,11 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     found = stages.put(found, "found")
     stages.drop("seen/kind=1")
     del passed
-    stages.release()
     spans = seen.where("kind = 0").select("m", "h", "id", "pos").join(found, ["m", "h"]).where("low < id").select("id", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
     marks = spans.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("marks"))
     copies = light.join(light.groupBy("md5").agg(F.min("id").alias("lo")), "md5").where((F.col("id") > F.col("lo")) & (F.col("n") >= length))
     per_doc = stages.put(marks.join(copies.select("id", F.lit(True).alias("whole")).distinct(), "id", "full"), "marks")
     stages.drop("seen", "found", "light")
-    stages.release()
     return own.join(per_doc, "id", "left").select("id", "t", "whole", "marks").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.llm import bpe
-from spindrift.llm.common import Stages, partitions
+from spindrift.llm.common import Stages, partitions, tidy
 
 MAGIC = b"HTB1"
 SPACING = 128
@@ -243,7 +243,8 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, end_id: int | None = 0,
 
     coded = docs.mapInArrow(encode, "part int, doc_id long, n long, marks binary, codes binary")
     placed = coded.repartitionById(n, F.col("part")).sortWithinPartitions("part", "doc_id", "codes")
-    placed.mapInArrow(pack, "part int, start long, n_tokens long, block binary").write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    with tidy(spark):
+        placed.mapInArrow(pack, "part int, start long, n_tokens long, block binary").write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     stages.drop("raw")
     if own:
         stages.drop("")
