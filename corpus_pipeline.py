@@ -45,7 +45,6 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stages.drop("signed", "reps")
     classed = stages.put(rows.join(classes, "__row"), "classed")
     stages.drop("rows", "classes")
-    stages.release()
     out = linededup.dedup_lines(classed, class_col="__class")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
