@@ -5,23 +5,25 @@
    from here on; its representative has the smallest id.
 2. The forest: every tree sorts all representatives by its own slice of the
    signature (one range-partitioned sort over all trees; a hot prefix is spread
-   over partitions). Neighbours in a tree that share at least ``depth`` leading
-   minima are candidates.
-3. Candidates are verified on the full shingle sets of their texts. Of the
-   candidates each document first verifies its most similar one, then each pair of
-   components its most similar ones until one holds or all have failed, so a
-   group of n near copies costs about n verifications.
+   over partitions). Rows next to each other have the longest common prefix: those that
+   share at least ``depth`` leading minima are candidates, as is each row with the
+   centre (the row nearest to the commonest minima) of its run of at most
+   ``block`` such rows.
+3. Candidates are verified on the full shingle sets of their texts: first each
+   document's most similar neighbour and centre. Links are contracted to components.
 4. Regions (documents under one prefix of ``depth`` minima) that still hold
-   several components are looked at in full, at the same fixed depth: a longer
-   prefix would part pairs at the threshold. Regions of one component need
-   nothing more. First the members meet the
-   document nearest to their commonest minima, then every pair of different
-   components whose signatures and sizes allow the wanted similarity is a
-   candidate, in blocks where a region is large, and goes to step 3.
+   several components are searched in full, if they have at most ``crowded``
+   members. A larger one is replaced by its regions one minimum deeper, and these
+   again, until they are small or the slice ends; what is crowded even then is
+   searched in pairs of blocks, one a task. Every pair of different components
+   whose signatures and sizes allow the wanted similarity is a candidate; each two components verify
+   their most similar ones until one holds or all have failed.
 
 A pair at the threshold shares the prefix in some tree with probability
-1 - (1 - s^depth)^trees: 0.99999 at s = 0.8 with 16 trees and depth 3. The
-signature filter lies 5.5 standard deviations below the threshold.
+1 - (1 - s^depth)^trees: 0.99999 at s = 0.8 with 16 trees and depth 3. Where
+every region that it shares is crowded and divided, it is 0.9998 at depth 4 and 0.998 at depth 5; neighbours
+and centres, which do not depend on depth, still link most of these. The signature filter lies 4.5 standard
+deviations below the threshold and compares a byte of each minimum, which passes no fewer pairs.
 
 Edge cases: null, empty and white-space texts have the size 0 and link with
 nothing; a text with fewer words than a shingle is one shingle; rows with a
@@ -97,13 +99,15 @@ def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(words)
         for batch in batches:
-            size, key, sig = [], [], []
+            size, key, sig, low = [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = hasher(text)
                 size.append(len(h))
                 key.append(blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-                sig.append(signature(h).astype(">u4").tobytes() if len(h) else None)
-            yield pa.record_batch({"doc_id": batch.column(0), "n_shingles": pa.array(size, pa.int64()), "key": pa.array(key, pa.binary()), "sig": pa.array(sig, pa.binary())})
+                minima = signature(h)
+                sig.append(minima.astype(">u4").tobytes() if len(h) else None)
+                low.append(minima.astype("u1").tobytes() if len(h) else None)
+            yield pa.record_batch({"doc_id": batch.column(0), "n_shingles": pa.array(size, pa.int64()), **{k: pa.array(v, pa.binary()) for k, v in (("key", key), ("sig", sig), ("low", low))}})
 
     return run
 
@@ -125,148 +129,189 @@ def _verify(words: int, percent: int):
 
 
 _W = DEPTH * 4
+_PASS = "kind int, a long, b long, same int, centre boolean, k binary"
+PAIR, MEMBER, END = 0, 1, 2
 
 
-def _neighbours(depth: int):
-    """Candidates among sorted rows ``k (tree, slice), id, sig``, and each partition's two ends for the seams."""
-    head = 1 + 4 * depth
+def _rows(kind: int, a, b=None, same=None, centre=None, k=None) -> pa.RecordBatch:
+    n = len(a)
+    cols = [pa.array(np.full(n, kind, "i4")), pa.array(a, pa.int64())]
+    cols += [pa.nulls(n, t) if x is None else pa.array(x, t) for x, t in ((b, pa.int64()), (same, pa.int32()), (centre, pa.bool_()), (k, pa.binary()))]
+    return pa.RecordBatch.from_arrays(cols, ["kind", "a", "b", "same", "centre", "k"])
 
-    def pair(p, q):
-        same = np.frombuffer(p[2], "u4") == np.frombuffer(q[2], "u4")
-        return (min(p[1], q[1]), max(p[1], q[1]), int(same.sum()), None, None)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
-        for batch in batches:
-            rows = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if last is None:
-                    first = row
-                elif last[0][:head] == row[0][:head] and last[1] != row[1]:
-                    rows.append(pair(last, row))
-                last = row
-            yield _edges(rows)
-        if first is not None:
-            yield _edges([(r[1], None, None, r[0], r[2]) for r in ([first] if first is last else [first, last])])
-
-    return run
+def _centre(low: np.ndarray, ids: np.ndarray) -> int:
+    """The row nearest to the commonest minima, of equal ones that with the least id."""
+    order = np.sort(low, axis=0)
+    place = np.arange(len(order))[:, None]
+    start = np.maximum.accumulate(np.where(np.vstack([np.ones((1, low.shape[1]), bool), order[1:] != order[:-1]]), place, 0), axis=0)
+    common = order[(place - start).argmax(0), np.arange(low.shape[1])]
+    return int(np.lexsort((ids, -(low == common).sum(1)))[0])
 
 
-def _edges(rows: list) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["a", "b", "same", "k", "sig"])
+class _Sorted:
+    """Candidates and members of regions among the rows ``k (tree, slice), id, n, low`` of one partition, in order of k and id.
 
+    A run (rows that share tree and ``depth`` minima) is cut into blocks; blocks of one run are chained by their neighbouring rows and by their centres.
+    """
 
-def _centres(least: int):
-    """The document nearest to the commonest minima of a block, with each member of another component it may be similar to; and by itself, with the block's place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, depth: int, least: int, percent: int, block: int):
+        self.head, self.least, self.percent, self.block = 1 + 4 * depth, least, percent, block
+        self.last: tuple | None = None  # the last row (k, id, n, low) of the block before, and its centre
+
+    def pairs(self, rows: tuple, x: np.ndarray, y: np.ndarray, centre: bool) -> pa.RecordBatch:
+        _, ids, n, low = rows
+        same = (low[x] == low[y]).sum(1)
+        fit = (same >= self.least) & (100 * np.minimum(n[x], n[y]) >= self.percent * np.maximum(n[x], n[y])) & (ids[x] != ids[y])
+        x, y, same = x[fit], y[fit], same[fit]
+        return _rows(PAIR, np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]), same.astype("i4"), np.full(len(x), centre))
+
+    def process(self, rows: tuple, final: bool) -> Iterator[pa.RecordBatch]:
+        k, ids, n, low = rows
+        head = k[:, : self.head]
+        new = np.concatenate([[True], (head[1:] != head[:-1]).any(1)])
+        near = np.flatnonzero(~new)
+        yield self.pairs(rows, near - 1, near, False)
+        start = np.flatnonzero(new)
+        stop = np.append(start[1:], len(new))
+        # Runs that may go on in another partition have their members noted however short they are.
+        alone = stop - start == 1
+        alone[0] &= self.last is not None and (self.last[0][: self.head] != head[0]).any()
+        if final:
+            alone[-1] = False
+        kept = np.flatnonzero(~np.repeat(alone, stop - start))
+        yield _rows(MEMBER, ids[kept], k=[x.tobytes() for x in k[kept]])
+        centre = None
+        for s, e in zip(start.tolist(), stop.tolist(), strict=True):
+            centre = None
+            for a in range(s, e, self.block):
+                z = min(e, a + self.block)
+                at = a + _centre(low[a:z], ids[a:z]) if z - a > 2 else a
+                if z - a > 2:
+                    yield self.pairs(rows, np.delete(np.arange(a, z), at - a), np.full(z - a - 1, at), True)
+                if centre is not None:
+                    yield self.pairs(rows, np.array([centre]), np.array([at]), True)
+                elif a == 0 and self.last is not None and (self.last[0][: self.head] == head[0]).all():
+                    both = tuple(np.concatenate([x[None], y[None], z_[:1], z_[at : at + 1]]) for x, y, z_ in zip(self.last[:4], self.last[4:], rows, strict=True))
+                    yield self.pairs(both, np.array([0]), np.array([2]), False)
+                    yield self.pairs(both, np.array([1]), np.array([3]), True)
+                centre = at
+        self.last = (*(x[-1] for x in rows), *(x[centre] for x in rows))
+
+    def end(self) -> pa.RecordBatch:
+        return _rows(END, [int(self.last[1])], [int(self.last[5])], k=[self.last[0].tobytes()])
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
         for batch in batches:
-            out = []
-            for p, c, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids, comp = (rows.values.field(x).to_numpy(zero_copy_only=False) for x in ("id", "comp"))
-                sig = np.frombuffer(b"".join(rows.values.field("sig").to_pylist()), "u4").reshape(-1, SIZE)
-                low = np.sort(sig, axis=0)
-                place = np.arange(len(low))[:, None]
-                start = np.maximum.accumulate(np.where(np.vstack([np.ones((1, SIZE), bool), low[1:] != low[:-1]]), place, 0), axis=0)
-                common = low[(place - start).argmax(0), np.arange(SIZE)]
-                near = (sig == common).sum(1)
-                at = int(np.lexsort((ids, -near))[0])
-                same = (sig == sig[at]).sum(1)
-                for k in np.flatnonzero((comp != comp[at]) & (same >= least)):
-                    out.append((int(min(ids[k], ids[at])), int(max(ids[k], ids[at])), int(same[k]), p, c))
-                out.append((int(ids[at]), None, None, p, c))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate([pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()])], ["a", "b", "same", "p", "c"])
-
-    return run
+            if not batch.num_rows:
+                continue
+            k, low = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(batch.num_rows, -1) for c in ("k", "low"))
+            rows = (k, batch.column("id").to_numpy(), batch.column("n").to_numpy(), low)
+            if held is None:
+                yield _rows(END, rows[1][:1], rows[1][:1], k=[k[0].tobytes()])
+            else:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            # The last run waits for its other rows, but for whole blocks of them.
+            same = (rows[0][:, : self.head] == rows[0][-1, : self.head]).all(1)
+            first = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            first += (len(same) - first - 1) // self.block * self.block
+            if first:
+                yield from self.process(tuple(x[:first] for x in rows), False)
+            held = tuple(x[first:] for x in rows)
+        if held is not None:
+            yield from self.process(held, True)
+            yield self.end()
 
 
 def _across(percent: int, least: int):
-    """Pairs of different components within a block pair of a region that size and signature allow."""
+    """Pairs of different components within a pair of blocks of a region that size and signature allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                p, q = ([batch.column(n)[i].values.field(x) for x in ("id", "comp", "n", "sig")] for n in ("left", "right"))
+                p, q = ([batch.column(n)[i].values.field(x) for x in ("id", "comp", "n", "low")] for n in ("left", "right"))
                 (ai, ac, an), (bi, bc, bn) = ([c.to_numpy(zero_copy_only=False) for c in x[:3]] for x in (p, q))
-                sa, sb = (np.frombuffer(b"".join(x[3].to_pylist()), "u4").reshape(-1, SIZE) for x in (p, q))
+                sa, sb = (np.frombuffer(b"".join(x[3].to_pylist()), "u1").reshape(-1, SIZE) for x in (p, q))
                 out = []
                 for k in range(len(ai)):
                     fit = np.flatnonzero((bc != ac[k]) & (bi != ai[k]) & (100 * np.minimum(bn, an[k]) >= percent * np.maximum(bn, an[k])))
                     if len(fit):
                         same = (sb[fit] == sa[k]).sum(1)
-                        out += [(min(int(ai[k]), int(bi[j])), max(int(ai[k]), int(bi[j])), int(s), None, None) for j, s in zip(fit, same, strict=True) if s >= least]
-                yield _edges(list(dict.fromkeys(out)))
+                        ok = same >= least
+                        out.append(np.stack([np.minimum(bi[fit[ok]], ai[k]), np.maximum(bi[fit[ok]], ai[k]), same[ok]], 1))
+                if out:
+                    a, b, same = np.unique(np.concatenate(out), axis=0).T
+                    yield pa.record_batch({"a": np.ascontiguousarray(a), "b": np.ascontiguousarray(b), "same": same.astype("i4")})
 
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, depth: int = 3, block: int = 4096, stages: Stages | None = None) -> DataFrame:
+def _regions(members: DataFrame, comp: DataFrame, depth: int, crowded: int) -> DataFrame:
+    """``p, id, comp, m`` of regions with several components, at the depth that leaves each at most ``crowded`` members, if any does."""
+    at = lambda d: F.xxhash64(F.lit(d), F.substr("k", F.lit(1), F.lit(1 + 4 * d)))
+    now = members.join(comp, "id", "left").select("id", "k", F.coalesce("component", "id").alias("comp"))
+    several = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")]
+    now = now.withColumn("p", at(depth))
+    open_ = now.join(now.groupBy("p").agg(*several).where("lo <> hi").select("p", "m"), "p")
+    small = open_.where(F.col("m") <= crowded).select("p", "id", "comp", "m")
+    large = open_.where(F.col("m") > crowded).select("id", "comp", F.col("p").alias("top"), F.posexplode(F.array(*[at(d) for d in range(depth + 1, DEPTH + 1)])).alias("d", "p"))
+    sized = large.groupBy("p").agg(*several)
+    # Of each row's deeper regions the first that is small enough, or the deepest; those of one component need nothing.
+    fit = large.join(sized, "p").where((F.col("m") <= crowded) | (F.col("d") == DEPTH - depth - 1))
+    first = fit.groupBy("id", "top").agg(F.min(F.struct("d", "p", "m", "lo", "hi", "comp")).alias("x")).select("x.*", "id").where("lo <> hi")
+    return small.unionByName(first.select("p", "id", "comp", "m"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, depth: int = 3, block: int = 1024, crowded: int = 4096, stages: Stages | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
 
     words: words of a shingle; percent: 100 x the least Jaccard similarity of a
     link; depth: minima that candidates share at least; block: rows of a
-    region's blocks.
+    block; crowded: members from which a region is divided.
     """
     spark = docs.sparkSession
     stages = stages or Stages(spark, "minhash")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stages.put(own.mapInArrow(_sign(words), "doc_id long, n_shingles long, key binary, sig binary"), "signed")
-    reps = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "sig"), "doc_id").alias("r"))
-    reps = stages.put(reps.select("key", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), "r.sig"), "reps")
+    signed = stages.put(own.mapInArrow(_sign(words), "doc_id long, n_shingles long, key binary, sig binary, low binary"), "signed")
+    reps = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "sig", "low"), "doc_id").alias("r"))
+    reps = stages.put(reps.select("key", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), "r.sig", "r.low"), "reps")
     share = percent / 100
-    least = int(SIZE * max(0.0, share - 5.5 * (share * (1 - share) / SIZE) ** 0.5))
+    least = int(SIZE * max(0.0, share - 4.5 * (share * (1 - share) / SIZE) ** 0.5))
 
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")
-    slices = reps.select("id", "n", "sig", tree).withColumn("k", F.concat(F.substring(F.unhex(F.hex("t")), -1, 1), F.substr("sig", F.col("t") * _W + 1, F.lit(_W))))
-    # Prefixes of a single document have no neighbour in their tree; only the others carry signatures through the sort.
-    prefix = F.substr("k", F.lit(1), F.lit(1 + 4 * depth))
-    shared = slices.groupBy(F.xxhash64(prefix).alias("p")).agg(F.count("*").alias("m")).where("m > 1").select("p")
-    forest = stages.put(slices.select("k", "id", "n", F.xxhash64(prefix).alias("p")).join(shared, "p"), "forest")
-    members = forest.select("id").distinct()
-    sigs = stages.put(reps.join(members, "id").select("id", "n", "sig"), "sigs")
-    keyed = stages.put(forest.select("k", "id").join(sigs.select("id", "sig"), "id").select("k", "id", "sig"), "keyed")
-    order = keyed.repartitionByRange(partitions(spark), "k", "id").sortWithinPartitions("k", "id")
-    near = stages.put(order.mapInArrow(_neighbours(depth), "a long, b long, same int, k binary, sig binary"), "near")
-    stages.drop("keyed")
-    # Two rows a partition, in order: the seams between partitions.
+    slices = reps.select("id", "n", "low", "sig", tree)
+    slices = slices.select(F.concat(F.substring(F.unhex(F.hex("t")), -1, 1), F.substr("sig", F.col("t") * _W + 1, F.lit(_W))).alias("k"), "id", "n", "low")
+    order = slices.repartitionByRange(partitions(spark), "k", "id").sortWithinPartitions("k", "id")
+    found = stages.put(order.mapInArrow(_Sorted(depth, least, percent, block), _PASS), "forest", ["kind"])
+    # Two rows a partition, in order: the seams between partitions, and the centres beside them.
     seam = Window.orderBy("k", "a")
-    ends = near.where("b is null").select("k", "a", "sig", F.lag("a").over(seam).alias("a0"), F.lag("k").over(seam).alias("k0"))
-    ends = ends.where((F.substr("k", F.lit(1), F.lit(1 + 4 * depth)) == F.substr("k0", F.lit(1), F.lit(1 + 4 * depth))) & (F.col("a") != F.col("a0")))
-    seams = ends.select(F.least("a", "a0").alias("a"), F.greatest("a", "a0").alias("b"), F.lit(SIZE).alias("same"))
-    cand = near.where("b is not null").select("a", "b", "same").unionByName(seams).where(F.col("same") >= least).distinct()
-    cand = stages.put(cand, "cand0")
-
-    texts = stages.put(own.join(members.withColumnRenamed("id", "doc_id"), "doc_id"), "texts")
-    state = _Links(stages, texts, words, percent)
-    state.settle(cand)
-    comp = state.comp
-    def open_blocks(stage: str) -> DataFrame:
-        """Regions with several components, in blocks."""
-        now = forest.join(state.comp, "id", "left").select("p", "id", F.coalesce("component", "id").alias("comp"))
-        regions = now.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("p", "m")
-        rest = now.join(regions, "p").join(sigs, "id").withColumn("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)).cast("int"))
-        return stages.put(rest.groupBy("p", "c", "m").agg(F.collect_list(F.struct("id", "comp", "n", "sig")).alias("rows")), stage)
-
-    # First each block's centre with its members: copies of one text are nearer to it than to each other.
-    centres = stages.put(open_blocks("blocks0").select("p", "c", "rows").mapInArrow(_centres(least), "a long, b long, same int, p long, c int"), "centres")
-    next_ = F.lag("a").over(Window.partitionBy("p").orderBy("c"))
-    chain = centres.where("b is null").withColumn("b", next_).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(SIZE).alias("same"))
-    star = centres.where("b is not null").select("a", "b", "same").unionByName(chain).groupBy("a", "b").agg(F.max("same").alias("same"))
-    star = stages.put(star.join(cand.select("a", "b"), ["a", "b"], "left_anti"), "cand1")
-    stages.drop("blocks0")
-    state.settle(star)
-    # Then whatever is left between components.
-    blocks = open_blocks("blocks1")
+    ends = found.where(F.col("kind") == END).select("k", "a", "b", *[F.lag(c).over(seam).alias(f"{c}0") for c in ("k", "a", "b")])
+    ends = ends.where(F.substr("k", F.lit(1), F.lit(1 + 4 * depth)) == F.substr("k0", F.lit(1), F.lit(1 + 4 * depth)))
+    seams = ends.select(F.explode(F.array(F.struct("a", "a0", F.lit(False).alias("centre")), F.struct(F.col("b").alias("a"), F.col("b0").alias("a0"), F.lit(True).alias("centre")))).alias("x")).where("x.a <> x.a0")
+    seams = seams.select(F.least("x.a", "x.a0").alias("a"), F.greatest("x.a", "x.a0").alias("b"), F.lit(SIZE).alias("same"), "x.centre")
+    cand = found.where(F.col("kind") == PAIR).select("a", "b", "same", "centre").unionByName(seams)
+    ends = cand.select("a", "b", "same", "centre", F.explode(F.array("a", "b")).alias("v"))
+    best = ends.groupBy("v", "centre").agg(F.max(F.struct("same", -F.col("a"), -F.col("b"))).alias("x"))
+    first = stages.put(best.select((-F.col("x.col2")).alias("a"), (-F.col("x.col3")).alias("b")).distinct(), "first")
+
+    links = _Links(stages, own, words, percent)
+    links.read(first)
+    links.join(first)
+    stages.drop("texts0")
+    members = found.where(F.col("kind") == MEMBER).select(F.col("a").alias("id"), "k")
+    rest = _regions(members, links.comp, depth, crowded).join(reps.select("id", "n", "low"), "id")
+    rest = rest.withColumn("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)).cast("int"))
+    blocks = stages.put(rest.groupBy("p", "c", "m").agg(F.collect_list(F.struct("id", "comp", "n", "low")).alias("rows")), "blocks")
     right = blocks.select("p", F.col("c").alias("d"), F.col("rows").alias("right"))
     left = blocks.select("p", "c", F.col("rows").alias("left"), F.explode(F.sequence("c", F.ceil(F.col("m") / block).cast("int") - 1)).alias("d"))
-    tiles = left.join(right, ["p", "d"]).select("left", "right")
-    more = tiles.mapInArrow(_across(percent, least), "a long, b long, same int, k binary, sig binary").select("a", "b", "same").distinct()
-    tried = cand.select("a", "b").unionByName(star.select("a", "b"))
-    state.settle(stages.put(more.join(tried, ["a", "b"], "left_anti"), "cand2"))
-    stages.drop("blocks1", "forest", "sigs", "texts")
+    tiles = left.join(right, ["p", "d"]).repartition(partitions(spark), "p", "c", "d").select("left", "right")
+    more = tiles.mapInArrow(_across(percent, least), "a long, b long, same int").groupBy("a", "b").agg(F.max("same").alias("same"))
+    more = stages.put(more.join(first, ["a", "b"], "left_anti"), "cand")
+    stages.drop("blocks", "forest", "first")
+    links.settle(more)
 
-    of_class = reps.join(state.comp, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
+    of_class = reps.join(links.comp, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     return (
         signed.select("doc_id", "n_shingles", "key")
         .join(of_class, "key", "left")
@@ -276,43 +321,57 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 class _Links:
-    """Confirmed links and their components; ``settle`` adds what candidates confirm."""
-
-    def __init__(self, stages: Stages, texts: DataFrame, words: int, percent: int):
-        self.stages, self.texts, self.words, self.percent, self.k = stages, texts, words, percent, 0
-        self.comp = texts.sparkSession.createDataFrame([], "id long, component long")
+    """Confirmed links and their components."""
+
+    def __init__(self, stages: Stages, docs: DataFrame, words: int, percent: int):
+        self.stages, self.docs, self.words, self.percent, self.k = stages, docs, words, percent, 0
+        self.texts = docs
+        self.comp = docs.sparkSession.createDataFrame([], "id long, component long")
+
+    def read(self, pairs: DataFrame) -> None:
+        """Gathers the texts of the pairs' documents."""
+        self.texts = self.stages.put(self.docs.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id"), f"texts{self.k}")
+
+    def join(self, pairs: DataFrame) -> None:
+        """Verifies pairs ``a, b`` and joins the components of those that hold."""
+        s, k, texts = self.stages, self.k, self.texts
+        self.k += 1
+        ta, tb = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in ("a", "b"))
+        both = pairs.select("a", "b").join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+        checked = s.put(both.mapInArrow(_verify(self.words, self.percent), "a long, b long, ok boolean"), f"checked{k}")
+        ca, cb = (self.comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
+        ok = checked.where("ok")
+        if k:
+            ok = ok.join(ca, "a", "left").join(cb, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        if not ok.isEmpty():
+            moved = components(ok, s, f"cc{k}-")
+            if k:  # every id follows its component
+                follow = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+                old = self.comp.join(follow, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+                moved = old.unionByName(moved.join(old.select("id"), "id", "left_anti"))
+            self.comp = s.put(moved, f"comp{k}")
+        s.drop(f"checked{k}")
 
     def settle(self, cand: DataFrame) -> None:
-        tried = 0
+        """Verifies candidates ``a, b, same`` until no two components have an untried one."""
+        most = 16
+        self.read(cand)
         while True:
             s, k = self.stages, self.k
-            self.k += 1
             ca, cb = (self.comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
             both = cand.join(ca, "a", "left").join(cb, "b", "left")
             ga, gb = F.coalesce("ca", "a"), F.coalesce("cb", "b")
-            apart = s.put(both.where(ga != gb).select("a", "b", "same", F.least(ga, gb).alias("lo"), F.greatest(ga, gb).alias("hi")), f"apart{k}")
-            if apart.isEmpty():
+            rank = F.row_number().over(Window.partitionBy("lo", "hi").orderBy(F.desc("same"), "a", "b"))
+            apart = both.where(ga != gb).select("a", "b", "same", F.least(ga, gb).alias("lo"), F.greatest(ga, gb).alias("hi")).withColumn("rank", rank)
+            apart = s.put(apart.select("a", "b", "same", "rank"), f"apart{k}")
+            left = apart.agg(F.count("*"), F.count_if(F.col("rank") > most)).first()
+            if left[0]:
+                self.join(apart.where(F.col("rank") <= most).select("a", "b"))
+            s.drop(f"apart{k - 1}")
+            if not left[1]:
                 return
-            if k == 0:  # all are alone: each document's most similar candidate
-                best = F.max(F.struct("same", -F.col("a"), -F.col("b"))).alias("x")
-                ends = apart.select("a", "b", "same", F.explode(F.array("a", "b")).alias("v"))
-                picked = ends.groupBy("v").agg(best).select((-F.col("x.col2")).alias("a"), (-F.col("x.col3")).alias("b")).distinct()
-            else:  # one and, while they fail, ever more candidates for each pair of components
-                rank = F.row_number().over(Window.partitionBy("lo", "hi").orderBy(F.desc("same"), "a", "b"))
-                picked = apart.withColumn("rank", rank).where(F.col("rank") <= 4**tried).select("a", "b")
-                tried += 1
-            ta, tb = (self.texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}")) for x in ("a", "b"))
-            pairs = picked.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-            checked = s.put(pairs.mapInArrow(_verify(self.words, self.percent), "a long, b long, ok boolean"), f"checked{k}")
-            # Links join components: only those of this round are contracted, then every id follows its component.
-            ok = checked.where("ok").join(ca, "a", "left").join(cb, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-            if not ok.isEmpty():
-                moved = components(ok, s, f"cc{k}-")
-                follow = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
-                old = self.comp.join(follow, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
-                self.comp = s.put(old.unionByName(moved.join(old.select("id"), "id", "left_anti")), f"comp{k}")
-            cand = s.put(apart.select("a", "b", "same").join(checked.select("a", "b").distinct(), ["a", "b"], "left_anti"), f"left{k}")
-            s.drop(f"apart{k}", f"checked{k}", f"left{k - 1}")
+            cand = apart.where(F.col("rank") > most).select("a", "b", "same")
+            most *= 16
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
