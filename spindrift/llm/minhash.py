@@ -15,9 +15,11 @@
    several components are searched in full, if they have at most ``crowded``
    members. A larger one is replaced by its regions one minimum deeper, and these
    again, until they are small or the slice ends; what is crowded even then is
-   searched in pairs of blocks, one a task. Every pair of different components
-   whose signatures and sizes allow the wanted similarity is a candidate; each two components verify
-   their most similar ones until one holds or all have failed.
+   searched in pairs of blocks, one a task. First signatures and sizes tell
+   which members may be similar to one of another component; then these members'
+   shingle sets (as 64-bit hashes) are compared within the same pair of blocks,
+   each pair of documents in the first tree alone whose prefix it shares, and only links that join components leave the task
+   (a tree of at most as many links as members), to be verified on full texts.
 
 A pair at the threshold shares the prefix in some tree with probability
 1 - (1 - s^depth)^trees: 0.99999 at s = 0.8 with 16 trees and depth 3. Where
@@ -40,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from spindrift.llm.common import Stages, components, partitions
 
@@ -58,22 +61,25 @@ def shingles(text: str | None, words: int) -> set[bytes]:
     return {b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
 
 
+class _Known(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = xxh3_64_intdigest(word)
+        if len(self) < 400_000:
+            self[word] = h
+        return h
+
+
 class Hasher:
     """64-bit hashes of words, remembered up to a bound, and of the shingles made of them."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.known = words, _Known()
 
     def __call__(self, text: str | None) -> np.ndarray:
         w = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not w:
             return np.empty(0, "u8")
-        known = self.known
-        if len(known) > 400_000:
-            known.clear()
-        for x in set(w).difference(known):
-            known[x] = int.from_bytes(blake2b(x, digest_size=8).digest(), "little")
-        h = np.fromiter(map(known.__getitem__, w), "u8", len(w))
+        h = np.fromiter(map(self.known.__getitem__, w), "u8", len(w))
         n = max(1, len(h) - self.words + 1)
         out = np.zeros(n, "u8")
         for i in range(min(self.words, len(h))):
@@ -131,6 +137,8 @@ def _verify(words: int, percent: int):
 _W = DEPTH * 4
 _PASS = "kind int, a long, b long, same int, centre boolean, k binary"
 PAIR, MEMBER, END = 0, 1, 2
+#: Ids (8 bytes each) up to which a list of them is broadcast instead of shuffling all texts.
+FEW = 1_000_000
 
 
 def _rows(kind: int, a, b=None, same=None, centre=None, k=None) -> pa.RecordBatch:
@@ -224,43 +232,93 @@ class _Sorted:
             yield self.end()
 
 
-def _across(percent: int, least: int):
-    """Pairs of different components within a pair of blocks of a region that size and signature allow."""
+def _hits(percent: int, least: int):
+    """Members of a pair of blocks whose signature and size allow a similar member of another component. side: 0 within one block, else 1 or 2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
+                tile, tree, inner = (batch.column(c)[i].as_py() for c in ("tile", "tree", "inner"))
                 p, q = ([batch.column(n)[i].values.field(x) for x in ("id", "comp", "n", "low")] for n in ("left", "right"))
                 (ai, ac, an), (bi, bc, bn) = ([c.to_numpy(zero_copy_only=False) for c in x[:3]] for x in (p, q))
                 sa, sb = (np.frombuffer(b"".join(x[3].to_pylist()), "u1").reshape(-1, SIZE) for x in (p, q))
-                out = []
+                left, right = np.zeros(len(ai), bool), np.zeros(len(bi), bool)
                 for k in range(len(ai)):
-                    fit = np.flatnonzero((bc != ac[k]) & (bi != ai[k]) & (100 * np.minimum(bn, an[k]) >= percent * np.maximum(bn, an[k])))
-                    if len(fit):
-                        same = (sb[fit] == sa[k]).sum(1)
-                        ok = same >= least
-                        out.append(np.stack([np.minimum(bi[fit[ok]], ai[k]), np.maximum(bi[fit[ok]], ai[k]), same[ok]], 1))
-                if out:
-                    a, b, same = np.unique(np.concatenate(out), axis=0).T
-                    yield pa.record_batch({"a": np.ascontiguousarray(a), "b": np.ascontiguousarray(b), "same": same.astype("i4")})
+                    fit = np.flatnonzero((bc != ac[k]) & (100 * np.minimum(bn, an[k]) >= percent * np.maximum(bn, an[k])))
+                    fit = fit[(sb[fit] == sa[k]).sum(1) >= least]
+                    left[k] = len(fit) > 0
+                    right[fit] = True
+                ids, side = (ai[left], np.zeros(left.sum(), "i4")) if inner else (np.concatenate([ai[left], bi[right]]), np.repeat(np.array([1, 2], "i4"), [left.sum(), right.sum()]))
+                yield pa.record_batch({"tile": np.full(len(ids), tile), "tree": np.full(len(ids), tree, "i4"), "id": ids, "side": side})
+
+    return run
+
+
+def _joining(words: int, percent: int, least: int, depth: int, plain: bool):
+    """Links that join components among rows ``tile, tree, side, id, comp, sig, text``, sorted by tile. plain: no region was divided, so a pair that an earlier tree brings together is left to that."""
+
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        tree = rows[0][0]
+        side, ids, comp = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+        sig = np.frombuffer(b"".join(r[4] for r in rows), ">u4").reshape(len(rows), SIZE)
+        hashes = [r[5] for r in rows]
+        n = np.array([len(h) for h in hashes])
+        known = comp.copy()  # the root of each row's component
+        head = np.ascontiguousarray(sig.reshape(len(rows), TREES, DEPTH)[:, :tree, :depth])
+        out = []
+        for k in range(len(rows) - 1):
+            rest = np.arange(k + 1, len(rows))
+            ok = (known[rest] != known[k]) & ((side[rest] != side[k]) | (side[k] == 0)) & (100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k]))
+            rest = rest[ok]
+            rest = rest[(sig[rest] == sig[k]).sum(1) >= least]
+            if plain and tree:
+                rest = rest[~(head[rest] == head[k]).all(2).any(1)]
+            if not len(rest):
+                continue
+            every = np.concatenate([hashes[j] for j in rest])
+            at = np.minimum(np.searchsorted(hashes[k], every), n[k] - 1)
+            cut = np.cumsum(n[rest]) - n[rest]
+            both = np.add.reduceat((hashes[k][at] == every).astype("i8"), cut)
+            for j in rest[100 * both >= percent * (n[rest] + n[k] - both)]:
+                if known[j] != known[k]:
+                    out.append((int(min(ids[k], ids[j])), int(max(ids[k], ids[j]))))
+                    known[known == known[j]] = known[k]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, now, rows = Hasher(words), None, []
+        for batch in batches:
+            out = []
+            for tile, tree, side, i, comp, sig, text in zip(*(batch.column(c).to_pylist() if c != 6 else (x.as_py() for x in batch.column(c)) for c in range(7)), strict=True):
+                if tile != now and rows:
+                    out += links(rows)
+                    rows = []
+                now = tile
+                if not rows or rows[-1][2] != i:  # else a row that repeats
+                    rows.append((tree, side, i, comp, sig, hasher(text)))
+            yield pa.record_batch({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
+        if rows:
+            out = links(rows)
+            yield pa.record_batch({"a": pa.array([r[0] for r in out], pa.int64()), "b": pa.array([r[1] for r in out], pa.int64())})
 
     return run
 
 
 def _regions(members: DataFrame, comp: DataFrame, depth: int, crowded: int) -> DataFrame:
-    """``p, id, comp, m`` of regions with several components, at the depth that leaves each at most ``crowded`` members, if any does."""
+    """``p, tree, id, comp, m, divided`` of regions with several components, at the depth that leaves each at most ``crowded`` members, if any does."""
     at = lambda d: F.xxhash64(F.lit(d), F.substr("k", F.lit(1), F.lit(1 + 4 * d)))
-    now = members.join(comp, "id", "left").select("id", "k", F.coalesce("component", "id").alias("comp"))
+    tree = F.conv(F.hex(F.substr("k", F.lit(1), F.lit(1))), 16, 10).cast("int").alias("tree")
+    now = members.join(comp, "id", "left").select("id", "k", tree, F.coalesce("component", "id").alias("comp"))
     several = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")]
     now = now.withColumn("p", at(depth))
     open_ = now.join(now.groupBy("p").agg(*several).where("lo <> hi").select("p", "m"), "p")
-    small = open_.where(F.col("m") <= crowded).select("p", "id", "comp", "m")
-    large = open_.where(F.col("m") > crowded).select("id", "comp", F.col("p").alias("top"), F.posexplode(F.array(*[at(d) for d in range(depth + 1, DEPTH + 1)])).alias("d", "p"))
+    small = open_.where(F.col("m") <= crowded).select("p", "tree", "id", "comp", "m", F.lit(False).alias("divided"))
+    large = open_.where(F.col("m") > crowded).select("id", "tree", "comp", F.col("p").alias("top"), F.posexplode(F.array(*[at(d) for d in range(depth + 1, DEPTH + 1)])).alias("d", "p"))
     sized = large.groupBy("p").agg(*several)
     # Of each row's deeper regions the first that is small enough, or the deepest; those of one component need nothing.
     fit = large.join(sized, "p").where((F.col("m") <= crowded) | (F.col("d") == DEPTH - depth - 1))
-    first = fit.groupBy("id", "top").agg(F.min(F.struct("d", "p", "m", "lo", "hi", "comp")).alias("x")).select("x.*", "id").where("lo <> hi")
-    return small.unionByName(first.select("p", "id", "comp", "m"))
+    first = fit.groupBy("id", "top").agg(F.min(F.struct("d", "p", "m", "lo", "hi", "comp", "tree")).alias("x")).select("x.*", "id").where("lo <> hi")
+    return small.unionByName(first.select("p", "tree", "id", "comp", "m", F.lit(True).alias("divided")))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, depth: int = 3, block: int = 1024, crowded: int = 4096, stages: Stages | None = None) -> DataFrame:
@@ -296,20 +354,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     first = stages.put(best.select((-F.col("x.col2")).alias("a"), (-F.col("x.col3")).alias("b")).distinct(), "first")
 
     links = _Links(stages, own, words, percent)
-    links.read(first)
+    links.read(first.select(F.explode(F.array("a", "b")).alias("id")))
     links.join(first)
     stages.drop("texts0")
     members = found.where(F.col("kind") == MEMBER).select(F.col("a").alias("id"), "k")
     rest = _regions(members, links.comp, depth, crowded).join(reps.select("id", "n", "low"), "id")
     rest = rest.withColumn("c", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / block)).cast("int"))
-    blocks = stages.put(rest.groupBy("p", "c", "m").agg(F.collect_list(F.struct("id", "comp", "n", "low")).alias("rows")), "blocks")
+    blocks = rest.groupBy("p", "c", "m", "tree").agg(F.max("divided").alias("divided"), F.collect_list(F.struct("id", "comp", "n", "low")).alias("rows"))
+    blocks = stages.put(blocks, "blocks")
+    plain = blocks.where("divided").isEmpty()
     right = blocks.select("p", F.col("c").alias("d"), F.col("rows").alias("right"))
-    left = blocks.select("p", "c", F.col("rows").alias("left"), F.explode(F.sequence("c", F.ceil(F.col("m") / block).cast("int") - 1)).alias("d"))
-    tiles = left.join(right, ["p", "d"]).repartition(partitions(spark), "p", "c", "d").select("left", "right")
-    more = tiles.mapInArrow(_across(percent, least), "a long, b long, same int").groupBy("a", "b").agg(F.max("same").alias("same"))
-    more = stages.put(more.join(first, ["a", "b"], "left_anti"), "cand")
+    left = blocks.select("p", "c", "tree", F.col("rows").alias("left"), F.explode(F.sequence("c", F.ceil(F.col("m") / block).cast("int") - 1)).alias("d"))
+    tiles = left.join(right, ["p", "d"]).repartition(partitions(spark), "p", "c", "d").select(F.xxhash64("p", "c", "d").alias("tile"), "tree", (F.col("c") == F.col("d")).alias("inner"), "left", "right")
+    hits = stages.put(tiles.mapInArrow(_hits(percent, least), "tile long, tree int, id long, side int"), "hits")
     stages.drop("blocks", "forest", "first")
-    links.settle(more)
+    links.read(hits.select("id"))
+    attrs = reps.select("id", "sig").join(links.comp, "id", "left").select("id", "sig", F.coalesce("component", "id").alias("comp"))
+    near = hits.join(attrs, "id").join(links.texts.withColumnRenamed("doc_id", "id"), "id").select("tile", "tree", "side", "id", "comp", "sig", "text")
+    near = near.repartition(partitions(spark), "tile").sortWithinPartitions("tile", "side", "id")
+    joining = stages.put(near.mapInArrow(_joining(words, percent, least, depth, plain), "a long, b long"), "joining")
+    links.join(joining.distinct())
+    stages.drop("hits", "texts1")
 
     of_class = reps.join(links.comp, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     return (
@@ -328,9 +393,11 @@ class _Links:
         self.texts = docs
         self.comp = docs.sparkSession.createDataFrame([], "id long, component long")
 
-    def read(self, pairs: DataFrame) -> None:
-        """Gathers the texts of the pairs' documents."""
-        self.texts = self.stages.put(self.docs.join(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id"), f"texts{self.k}")
+    def read(self, ids: DataFrame) -> None:
+        """Gathers the texts of documents ``id``."""
+        ids = self.stages.put(ids.select(F.col("id").alias("doc_id")).distinct(), f"ids{self.k}")
+        ids = F.broadcast(ids) if ids.count() <= FEW else ids
+        self.texts = self.stages.put(self.docs.join(ids, "doc_id"), f"texts{self.k}")
 
     def join(self, pairs: DataFrame) -> None:
         """Verifies pairs ``a, b`` and joins the components of those that hold."""
@@ -352,27 +419,6 @@ class _Links:
             self.comp = s.put(moved, f"comp{k}")
         s.drop(f"checked{k}")
 
-    def settle(self, cand: DataFrame) -> None:
-        """Verifies candidates ``a, b, same`` until no two components have an untried one."""
-        most = 16
-        self.read(cand)
-        while True:
-            s, k = self.stages, self.k
-            ca, cb = (self.comp.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in ("a", "b"))
-            both = cand.join(ca, "a", "left").join(cb, "b", "left")
-            ga, gb = F.coalesce("ca", "a"), F.coalesce("cb", "b")
-            rank = F.row_number().over(Window.partitionBy("lo", "hi").orderBy(F.desc("same"), "a", "b"))
-            apart = both.where(ga != gb).select("a", "b", "same", F.least(ga, gb).alias("lo"), F.greatest(ga, gb).alias("hi")).withColumn("rank", rank)
-            apart = s.put(apart.select("a", "b", "same", "rank"), f"apart{k}")
-            left = apart.agg(F.count("*"), F.count_if(F.col("rank") > most)).first()
-            if left[0]:
-                self.join(apart.where(F.col("rank") <= most).select("a", "b"))
-            s.drop(f"apart{k - 1}")
-            if not left[1]:
-                return
-            cand = apart.where(F.col("rank") > most).select("a", "b", "same")
-            most *= 16
-
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents: four-word shingles, similarity of 0.8 or more."""
