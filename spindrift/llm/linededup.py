@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from spindrift.llm.common import Stages, components, kept_names, partitions
 
 WILD = "<*>"
+ADDED = ("n_lines", "n_dropped")
 #: A token with a digit, an @ or ://, from its first character on; every character is looked at a fixed number of times.
 VARIABLE = r"(?<![^ ])[^ :0-9@]*+(?::(?!//)[^ :0-9@]*+)*+(?:[0-9@]|://)[^ ]*+"
 BLANKS = "\t\r\x0b\x0c"
@@ -219,7 +220,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     text = F.col("row").getField(text_col)
     parts = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("drops", i)), "\n")
-    names = kept_names(docs.columns, ("n_lines", "n_dropped"))
+    names = kept_names(docs.columns, ADDED)
     whole = {text_col: F.when(F.col("drops").isNull(), text).otherwise(kept)}
     return keyed.join(drops, ["id", "th"], "left").select(
         *[whole.get(c, F.col("row").getField(c)).alias(names[c]) for c in docs.columns],

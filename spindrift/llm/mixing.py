@@ -17,7 +17,9 @@ The driver holds only domain-by-domain sums. Tokens are words between white spac
 Edge cases: null and empty texts have no tokens and the prior as posterior; rows that repeat id and
 text get the same result; null ids are rows like others; without labelled rows there is
 one domain, "all"; target weights of unknown domains are left out and the rest
-is scaled to 1; an empty table gives no rows; extra columns are kept.
+is scaled to 1; an empty table gives no rows; extra columns are kept, those named like an
+added column with ``_in`` behind their name. A word that is not among the ``max_words``
+best ones counts as a token, but not for the posteriors.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import Stages
+from spindrift.llm.common import Stages, kept_names
 
+ADDED = ("n_tokens", "posteriors", "rate", "copies")
 SPACE = r"[ \t\n\x0b\f\r]+"
 
 
@@ -128,8 +131,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, id_c
         F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("tokens").cast("long").alias("n_tokens"),
         F.map_from_arrays(F.array(*map(F.lit, domains)), "p").alias("posteriors"), "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"),
     )
-    keyed = docs.withColumn("__id", id_).withColumn("__th", th)
-    return keyed.join(stages.put(rated, "rated"), ["__id", "__th"]).drop("__id", "__th")
+    names = kept_names(docs.columns, ADDED)
+    keyed = docs.select(F.struct("*").alias("row"), id_.alias("__id"), th.alias("__th"))
+    return keyed.join(stages.put(rated, "rated"), ["__id", "__th"]).select(*[F.col("row").getField(c).alias(names[c]) for c in docs.columns], *ADDED)
 
 
 def by_quality_and_toxicity(labels: DataFrame) -> DataFrame:

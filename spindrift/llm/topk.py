@@ -1,7 +1,7 @@
 """Exact top-k search by distributed histogram selection.
 
-Every pass scores everything: blocks of queries meet chunks of candidates, and
-each tile is one integer matrix product. The first passes only count scores
+Every pass scores everything: chunks of candidates are read where they lie, blocks of queries
+are sent to them (QUERY_BYTES a round, so what is broadcast is bounded), and each tile is one integer matrix product. The first passes only count scores
 per query in bins of the interval that must hold its kth best score; counts
 are summed over all tiles, and the bin with the kth score is the next interval,
 until it is a single value. The last pass returns the rows above that value
@@ -25,16 +25,20 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import Stages, partitions
+from spindrift.llm.common import Stages
 
 BINS = 4096
+#: Queries that are sent to all tasks at once.
+QUERY_BYTES = 64 << 20
 MOST = (1 << 63) - 1
 RESULT = "query_id long, rank int, vec_id long, score long"
 
@@ -74,42 +78,45 @@ def _widen(score: np.ndarray, q: np.ndarray, c: np.ndarray, own: np.ndarray, siz
         score[i, j] = exact
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]):
+def _tiles(batches: Iterator[pa.RecordBatch], shared):
     """Query ids, intervals, bin widths, missing counts, candidate ids and scores of each tile; an own row scores the least."""
     for batch in batches:
         for i in range(batch.num_rows):
             dim = batch.column("dim")[i].as_py()
-            qs, (c_id, c) = batch.column("qs")[i], _matrix(batch.column("rows")[i], dim)
-            q_id, q = _matrix(qs, dim)
-            lo, hi, width, need = (qs.values.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi", "width", "need"))
-            q_norm, c_norm = (np.sqrt((x.astype("f8") ** 2).sum(1)) for x in (q, c))
-            most = q_norm.max(initial=0) * c_norm.max(initial=0)
-            kind = "f8" if most < 2**52 else "i8"
-            score = (q.astype(kind) @ c.T.astype(kind)).astype("i8")
-            own = q_id[:, None] == c_id[None, :]
-            if most >= 2.0**62:
-                _widen(score, q, c, own, q_norm[:, None] * c_norm[None, :])
-            score[own] = np.iinfo("i8").min
-            yield q_id, (lo, hi), width, need, c_id, score
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for q_id, (lo, hi), width, need, _, score in _tiles(batches):
-        for i in range(len(q_id)):
-            own = score[i][(score[i] >= lo[i]) & (score[i] < hi[i]) & (score[i] > np.iinfo("i8").min)]
-            if not len(own):
-                continue
-            # The distance from the lower end fits an unsigned long.
-            at = ((own.astype("u8") - np.int64(lo[i]).astype("u8")) // np.uint64(width[i])).astype("i8")
-            if len(at) > need[i]:
-                at = at[at >= np.partition(at, len(at) - need[i])[len(at) - need[i]]]
-            b, n = np.unique(at, return_counts=True)
-            yield pa.record_batch({"id": np.full(len(b), q_id[i]), "bin": b, "n": n.astype("i8")})
-
-
-def _select(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+            c_id, c = _matrix(batch.column("rows")[i], dim)
+            c_norm = np.sqrt((c.astype("f8") ** 2).sum(1))
+            for q_id, q, lo, hi, width, need in shared.value.get(dim, ()):
+                q_norm = np.sqrt((q.astype("f8") ** 2).sum(1))
+                most = q_norm.max(initial=0) * c_norm.max(initial=0)
+                kind = "f8" if most < 2**52 else "i8"
+                score = (q.astype(kind) @ c.T.astype(kind)).astype("i8")
+                own = q_id[:, None] == c_id[None, :]
+                if most >= 2.0**62:
+                    _widen(score, q, c, own, q_norm[:, None] * c_norm[None, :])
+                score[own] = np.iinfo("i8").min
+                yield q_id, (lo, hi), width, need, c_id, score
+
+
+def _count(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for q_id, (lo, _), _, _, c_id, score in _tiles(batches):
+        for q_id, (lo, hi), width, need, _, score in _tiles(batches, shared):
+            for i in range(len(q_id)):
+                own = score[i][(score[i] >= lo[i]) & (score[i] < hi[i]) & (score[i] > np.iinfo("i8").min)]
+                if not len(own):
+                    continue
+                # The distance from the lower end fits an unsigned long.
+                at = ((own.astype("u8") - np.int64(lo[i]).astype("u8")) // np.uint64(width[i])).astype("i8")
+                if len(at) > need[i]:
+                    at = at[at >= np.partition(at, len(at) - need[i])[len(at) - need[i]]]
+                b, n = np.unique(at, return_counts=True)
+                yield pa.record_batch({"id": np.full(len(b), q_id[i]), "bin": b, "n": n.astype("i8")})
+
+    return run
+
+
+def _select(k: int, shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for q_id, (lo, _), _, _, c_id, score in _tiles(batches, shared):
             for i in range(len(q_id)):
                 over = np.flatnonzero((score[i] > lo[i]) & (score[i] > np.iinfo("i8").min))
                 ties = np.flatnonzero((score[i] == lo[i]) & (score[i] > np.iinfo("i8").min))
@@ -136,7 +143,7 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
     asked = {r["dim"]: r["n"] for r in queries.groupBy("dim").agg(F.count("*").alias("n")).toLocalIterator()}
     if not asked:
         return spark.createDataFrame([], RESULT)
-    chunks, blocks = ({d: -(-n[d] // size) for d in asked} for n, size in ((counts, chunk), (asked, query_block)))
+    chunks = {d: -(-counts[d] // chunk) for d in asked}
     of = lambda table: F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col("dim")]
     table = (
         rows.where(F.col("dim").isin(list(asked)))
@@ -149,22 +156,28 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
     top = {r["dim"]: r["m"] for r in rows.groupBy("dim").agg(F.max(norm).alias("m")).toLocalIterator()}
     size = norm * of({d: float(top[d]) for d in asked})
     bound = F.when(size < float(1 << 62), size.cast("long") + 1).otherwise(F.lit(MOST))
-    n = max(partitions(spark), -(-sum(chunks[d] * blocks[d] for d in asked) // 4))
-
-    def tiles(state: DataFrame) -> DataFrame:
-        blocked = (
-            state.withColumn("b", F.pmod(F.xxhash64("id", "v"), of(blocks)))
-            .groupBy("dim", "b")
-            .agg(F.collect_list(F.struct("id", "v", "lo", "hi", "width", "need")).alias("qs"))
-            .select("dim", "qs", F.explode(F.sequence(F.lit(0).cast("long"), of(chunks).cast("long") - 1)).alias("c"))
-        )
-        return blocked.join(table, ["dim", "c"]).repartition(n, F.xxhash64("qs.id", "c"))
+    rounds = max(1, -(-sum(asked[d] * (8 * d + 40) for d in asked) // QUERY_BYTES))
+
+    def scan(state: DataFrame, make, schema: str, name: str) -> DataFrame:
+        """All chunks, read where they lie, against the queries, which are sent to them: QUERY_BYTES a round."""
+        parts = []
+        for r in range(rounds):
+            own = state.where(F.pmod(F.xxhash64("id", "v", F.lit("round")), F.lit(rounds)) == r).select("id", "v", "dim", "lo", "hi", "width", "need").toArrow()
+            blocks: dict[int, list] = {}
+            for d in asked:
+                mine = own.filter(pc.equal(own["dim"], d)).combine_chunks()
+                cols = [mine[x].to_numpy() for x in ("id", "lo", "hi", "width", "need")]
+                v = mine["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+                blocks[d] = [(cols[0][z], v[z], *(c[z] for c in cols[1:])) for z in (slice(a, a + query_block) for a in range(0, len(v), query_block))]
+            out = table.mapInArrow(make(spark.sparkContext.broadcast(blocks)), schema)
+            parts.append(out if rounds == 1 else stages.put(out, f"{name}-{r}"))
+        return functools.reduce(DataFrame.unionByName, parts)
 
     state = queries.select("id", "v", "dim", (-bound).alias("lo"), bound.alias("hi"), F.floor(bound / (BINS // 2) + 1).alias("width"), F.lit(k).cast("long").alias("need"))
     widest = state.agg(F.max("width")).first()[0]
     step = 0
     while widest >= 1:
-        found = tiles(state).mapInArrow(_count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
+        found = scan(state, _count, "id long, bin long, n long", f"count{step}").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         seen = F.sum("n").over(Window.partitionBy("id").orderBy(F.desc("bin")))
         cut = found.withColumn("seen", seen).groupBy("id").agg(
             F.collect_list(F.struct("bin", "n", "seen")).alias("bins"),
@@ -188,7 +201,7 @@ def top_k(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, *, i
         step += 1
         widest = 0 if widest <= 1 else -(-widest // BINS)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    picked = tiles(state).mapInArrow(_select(k), "query_id long, vec_id long, score long")
+    picked = scan(state, lambda shared: _select(k, shared), "query_id long, vec_id long, score long", "picked")
     return picked.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 

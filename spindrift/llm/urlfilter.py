@@ -61,12 +61,20 @@ def bloom(keys: DataFrame, n_blocks: int) -> DataFrame:
     return keys.select(_block(F.col("key"), n_blocks).alias("block"), *[b.alias(f"b{i}") for i, b in enumerate(_bits(F.col("key")))]).groupBy("block").agg(*words)
 
 
+def possible(asked: DataFrame, listing: DataFrame, n_blocks: int) -> DataFrame:
+    """The rows whose ``key`` passes the filter of the listing's keys: all that are listed, and some false positives."""
+    tested = asked.withColumn("block", _block(F.col("key"), n_blocks)).join(F.broadcast(bloom(listing, n_blocks)), "block")
+    for i, b in enumerate(_bits(F.col("key"))):
+        tested = tested.where(F.getbit(f"w{i}", b) == 1)
+    return tested.select(asked.columns)
+
+
 def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame, *, id_col: str = "page_id", url_col: str = "url", bits_per_key: int = 16) -> DataFrame:
     """``<id>, host, path, rule, verdict, listed`` for every page.
 
     rules: ``host, path, verdict``; listed: ``url``, the URLs to block.
     """
-    u = pages.select(F.col(url_col).alias("url"))
+    u = pages.select(F.col(url_col).alias("url")).where("url is not null").distinct()
     at = lambda df: df.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
     exact = at(listed.select("url")).select(canonical(F.col("host"), F.col("path")).alias("key")).where("key is not null").distinct()
     listing = rules.where("host is not null and path is not null and verdict is not null").select(
@@ -83,31 +91,37 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame, *, id_col: str
     prefixes = F.transform(F.array(*[F.lit(x) for x in lengths]).cast("array<int>"), lambda n: F.when(n <= F.length("path"), F.substr("path", F.lit(1), n)))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(F.array_compact(prefixes), lambda p: F.concat(s, p))))
     asked = at(u).where("host <> ''").select("url", F.explode(F.array_append(keys, canonical(F.col("host"), F.col("path")))).alias("key"))
-    tested = asked.withColumn("block", _block(F.col("key"), n_blocks)).join(F.broadcast(bloom(listing, n_blocks)), "block")
-    for i, b in enumerate(_bits(F.col("key"))):
-        tested = tested.where(F.getbit(f"w{i}", b) == 1)
+    tested = possible(asked, listing, n_blocks)
     best = F.max(F.struct("is_rule", F.length("key").alias("n"), "n_host", "verdict", "key"))
-    hits = tested.select("url", "key").distinct().join(listing, "key").groupBy("url").agg(best.alias("hit"))
-    return (
-        at(pages.select(id_col, F.col(url_col).alias("url")))
-        .join(hits, "url", "left")
-        .select(
-            id_col, "host", "path", F.when(F.col("hit.is_rule"), F.col("hit.key")).alias("rule"),
-            F.coalesce("hit.verdict", F.lit("allow")).alias("verdict"), F.coalesce(~F.col("hit.is_rule"), F.lit(False)).alias("listed"),
-        )
+    hits = tested.join(listing, "key").groupBy("url").agg(best.alias("hit"))
+    own = at(pages.select(id_col, F.col(url_col).alias("url")))
+    # Null urls, however many, don't meet in the join.
+    judged = own.where("url is not null").join(hits, "url", "left").unionByName(own.where("url is null"), allowMissingColumns=True)
+    return judged.select(
+        id_col, "host", "path", F.when(F.col("hit.is_rule"), F.col("hit.key")).alias("rule"),
+        F.coalesce("hit.verdict", F.lit("allow")).alias("verdict"), F.coalesce(~F.col("hit.is_rule"), F.lit(False)).alias("listed"),
     )
 
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
-#: Host labels whose pages' URLs make up the query's list.
-SPAM = r"(^|\.)(casino-win|free-bets|cheap-pills|ads-track|spam-farm|adult-x)\."
+
+
+def blocklist(spark, sf_dir: str) -> DataFrame:
+    """The query's list ``url``: a stand-in for an outside list, as the tables hold none.
+
+    A URL of each customer's site, none of which is crawled, and of the crawled URLs those whose canonical form has an md5 that begins with 0.
+    """
+    crawled = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url")
+    taken = crawled.where(F.md5(canonical(host(F.col("url")), path(F.col("url"))).cast("binary")).startswith("0"))
+    key = F.col("c_custkey").cast("string")
+    sites = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("http://c"), key, F.lit(".example.org/fr/"), key).alias("url"))
+    return taken.unionByName(sites)
 
 
 def op2_url_filter(spark, sf_dir: str) -> DataFrame:
-    """Judge every page's URL by five rules and the canonical URLs seen on spam hosts."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    """Judge every page's URL by five rules and the list."""
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
-    return judge(pages, rules, pages.where(host(F.col("url")).rlike(SPAM)).select("url"))
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules, blocklist(spark, sf_dir))
 
 
 QUERIES = {"op2_url_filter": op2_url_filter}
@@ -116,7 +130,8 @@ QUERY_SQL = {
         with a as (select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as r from pages),
         h as (select page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') as host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path from a),
         c as (select *, regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/$', '') as canon from h),
-        l as (select distinct canon from c where host <> '' and regexp_matches(host, '{SPAM}')),
+        l as (select distinct canon from c where host <> '' and starts_with(md5('=' || canon), '0')
+            union select 'c' || c_custkey || '.example.org/fr/' || c_custkey from customer),
         rules(rh, rp, v) as (values {', '.join(map(repr, RULES))}),
         m as (select page_id, host, path, canon, max(struct_pack(n := length(rh || rp), m := length(rh), v := v, rule := rh || rp)) as best
             from (select distinct page_id, host, path, canon from c) left join rules on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by 1, 2, 3, 4)

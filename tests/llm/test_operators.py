@@ -72,7 +72,7 @@ def test_token_ids(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(registry.QUERY_SQL))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("embeddings", "pages", "customer"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = registry.QUERIES[name](spark, SF)
     want = con.execute(f"select {', '.join(got.columns)} from ({registry.QUERY_SQL[name]})").fetchall()
