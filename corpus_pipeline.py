@@ -2,8 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 and read again as the next one's docs. All but the last return the columns of
-their docs. Decisions are made for each row, so repeated and null ids do not
-matter.
+their docs, extra ones included, whatever their names. Decisions are made for
+each row, so repeated and null ids do not matter. Null and empty texts pass the
+first two stages unchanged, one of each id is left by the third, and packing gives them no bin. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrift.llm import linededup, minhash, mixing, packing, toxicity
-from spindrift.llm.common import Stages
+from spindrift.llm.common import Stages, free_name, kept_names
 
 TOXIC_FROM = 0.5
 CAPACITY = 4096
@@ -20,17 +22,18 @@ CAPACITY = 4096
 WEIGHTS = {"good": 0.95, "poor": 0.05}
 
 
-def numbered(docs: DataFrame, stages: Stages) -> DataFrame:
-    """Docs with a number for each row, written so that it stays the same."""
-    return stages.put(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def numbered(docs: DataFrame, stages: Stages) -> tuple[DataFrame, str]:
+    """Docs with a number for each row, written so that it stays the same; the number's column."""
+    row = free_name("row", docs.columns)
+    return stages.put(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of TOXIC_FROM or more go."""
-    rows = numbered(docs, Stages(spark, "toxic"))
-    scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col="__row")
-    gone = scores.where(F.col("score") >= TOXIC_FROM).select(F.col("row").alias("__row"))
-    return rows.join(gone, "__row", "left_anti").select(docs.columns)
+    rows, row = numbered(docs, Stages(spark, "toxic"))
+    scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col=row)
+    gone = scores.where(F.col("score") >= TOXIC_FROM).select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,25 +42,28 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Near copies, as the next stage judges them, lose the same lines and so reach it whole.
     """
     stages = Stages(spark, "classes")
-    rows = numbered(docs, stages)
-    near = minhash.near_duplicates(rows, id_col="__row", stages=stages)
-    classes = stages.put(near.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__class")), "classes")
+    rows, row = numbered(docs, stages)
+    near = minhash.near_duplicates(rows, id_col=row, stages=stages)
+    of = free_name("class", rows.columns)
+    classes = stages.put(near.select(F.col("doc_id").alias(row), F.col("component_id").alias(of)), "classes")
     stages.drop("signed", "reps")
-    classed = stages.put(rows.join(classes, "__row"), "classed")
+    classed = stages.put(rows.join(classes, row), "classed")
     stages.drop("rows", "classes")
-    out = linededup.dedup_lines(classed, class_col="__class")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    out = linededup.dedup_lines(classed, class_col=of)
+    names = kept_names(classed.columns, linededup.ADDED)
+    length = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return out.select(*[length.get(c, F.col(names[c])).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row with the smallest id stays (null only where all are), as does one of the rows that repeat an id and a blank text."""
-    rows = numbered(docs, Stages(spark, "near"))
-    near = minhash.near_duplicates(rows, id_col="__row").withColumnRenamed("doc_id", "__row")
-    ids = rows.select("__row", "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows, row = numbered(docs, Stages(spark, "near"))
+    near = minhash.near_duplicates(rows, id_col=row).withColumnRenamed("doc_id", "row")
+    ids = rows.select(F.col(row).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     group = F.when((F.col("n_shingles") > 0) | F.col("doc_id").isNull(), F.col("component_id"))
     keys = [group.alias("g"), F.when(group.isNull(), F.col("doc_id")).alias("i"), F.when(group.isNull(), F.col("th")).alias("h")]
-    first = near.join(ids, "__row").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("first"))
-    return rows.join(first.select("first.__row"), "__row", "left_semi").select(docs.columns)
+    first = near.join(ids, "row").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +71,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domain = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
     mixed = mixing.mix(docs, labels.select("doc_id", domain.alias("domain")), WEIGHTS, cap=1.0)
-    return mixed.where("copies > 0").select(docs.columns)
+    names = kept_names(docs.columns, mixing.ADDED)
+    return mixed.where("copies > 0").select(*[F.col(names[c]).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
