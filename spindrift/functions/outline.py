@@ -11,7 +11,7 @@ GLYPHS = {"☐": "open", "✔": "done", "✘": "cancelled"}
 TASK = r"^( *)([☐✔✘])( +)(.*)$"
 HEADING = r"^( *)([^ ☐✔✘].*):$"
 STAMP = r"@(done|cancelled)\((\d\d-\d\d-\d\d \d\d:\d\d)\)"
-TAG = r"@(\w+)"
+TAG = r"(?U)@(\w+)"
 
 
 def is_task(line: Column) -> Column:

@@ -24,8 +24,8 @@ def by_month(tasks: DataFrame) -> DataFrame:
     return tasks.where("stamped_at is not null").groupBy(F.date_format("stamped_at", "yyyy-MM").alias("month"), "status").agg(F.count("*").alias("n"))
 
 
-def order_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One outline a customer, written from ``orders`` (dates moved on by 20 years, as stamps are of this century): a group an order status, a task an order, and a note below each task."""
+def _order_groups(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    """``orders`` as lines of outlines (dates moved on by 20 years, as stamps are of this century): for each of the keys and each order status a group, a task an order, and a note below each task."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     glyph = F.expr("case o_orderstatus when 'F' then '✔' when 'P' then '✘' else '☐' end")
     stamp = F.expr(
@@ -33,10 +33,25 @@ def order_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
         " when 'P' then concat(' @cancelled(', date_format(o_orderdate + interval 20 years, 'yy-MM-dd HH:mm'), ')') else '' end"
     )
     task = F.concat(F.lit("        "), glyph, F.lit(" order "), "o_orderkey", stamp, F.lit("\n          ☐ check @"), F.substring("o_orderpriority", 3, 1))
-    groups = orders.groupBy("o_custkey", "o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", task.alias("t")))).alias("ts"))
-    block = F.concat(F.lit("    ☐ "), "o_orderstatus", F.lit("\n"), F.array_join(F.transform("ts", lambda x: x["t"]), "\n"))
-    files = groups.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderstatus", block.alias("b")))).alias("bs"))
-    return files.select("o_custkey", F.concat(F.lit("Orders:\n"), F.array_join(F.transform("bs", lambda x: x["b"]), "\n")).alias("text"))
+    groups = orders.groupBy(*keys, "o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", task.alias("t")))).alias("ts"))
+    return groups.withColumn("b", F.concat(F.lit("    ☐ "), "o_orderstatus", F.lit("\n"), F.array_join(F.transform("ts", lambda x: x["t"]), "\n")))
+
+
+def _joined(groups: DataFrame, by: str, order: str, text: str) -> DataFrame:
+    return groups.groupBy(*by.split()).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n").alias("text"))
+
+
+def order_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One outline a customer, under one heading."""
+    files = _joined(_order_groups(spark, sf_dir, "o_custkey"), "o_custkey", "o_orderstatus", "b")
+    return files.withColumn("text", F.concat(F.lit("Orders:\n"), "text"))
+
+
+def sectioned_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One outline a customer, a heading an order priority."""
+    parts = _joined(_order_groups(spark, sf_dir, "o_custkey", "o_orderpriority"), "o_custkey o_orderpriority", "o_orderstatus", "b")
+    parts = parts.withColumn("s", F.concat(F.lit("  "), "o_orderpriority", F.lit(":\n"), "text"))
+    return _joined(parts, "o_custkey", "o_orderpriority", "s")
 
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +86,13 @@ def outline_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_month(parse(lines(order_outlines(spark, sf_dir), "o_custkey", "text")))
 
 
-QUERIES = {f.__name__: f for f in (outline_status, outline_tasks, outline_parents, outline_rollup, outline_tags, outline_months)}
+def outline_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks under several headings a file; the levels are gathered from the lines."""
+    tasks = with_parents(parse(lines(sectioned_outlines(spark, sf_dir), "o_custkey", "text")))
+    return tasks.groupBy("file", "section", "indent").agg(F.count("*").alias("n"), F.countDistinct("root_line").alias("n_roots"), F.sum(F.col("line_no") - F.col("parent_line")).alias("sum_distance"))
+
+
+QUERIES = {f.__name__: f for f in (outline_status, outline_tasks, outline_parents, outline_rollup, outline_tags, outline_months, outline_sections)}
 
 _ORD = "(select o_custkey, o_orderkey, o_orderstatus s, o_orderdate + interval 20 year d, substr(o_orderpriority, 3, 1) p from orders)"
 _STATUS = "case s when 'F' then 'done' when 'P' then 'cancelled' else 'open' end"
@@ -97,4 +118,9 @@ ORACLE_SQL = {
             select case s when 'F' then 'done' else 'cancelled' end from {_ORD} where s in ('F', 'P')) group by 1""",
     "outline_months": f"""
         select strftime(d, '%Y-%m') as month, {_STATUS} as status, count(*) as n from {_ORD} where s in ('F', 'P') group by 1, 2""",
+    "outline_sections": """
+        with g as (select o_custkey as file, o_orderpriority as section, o_orderstatus, count(*) n from orders group by all)
+        select file, section, 4 as indent, count(*) as n, count(*) as n_roots, null::bigint as sum_distance from g group by 1, 2
+        union all select file, section, 8, sum(n)::bigint, count(*), sum(n * n)::bigint from g group by 1, 2
+        union all select file, section, 10, sum(n)::bigint, count(*), sum(n)::bigint from g group by 1, 2""",
 }

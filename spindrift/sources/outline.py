@@ -25,11 +25,15 @@ def lines(df: DataFrame, file: str | Column, text: str | Column) -> DataFrame:
 
 
 def read_outline(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return lines(spark.read.text(path, wholetext=True), F.col("_metadata.file_path"), "value")
+    """Lines of the outlines in a folder or files: named by their paths or, where ``write_outline`` wrote them, by the names that they had."""
+    df = spark.read.text(path, wholetext=True)
+    if "file" in df.columns:  # else digits would be read as numbers
+        written = spark.read.schema("value string, file string").text(path, wholetext=True)
+        return lines(written, "file", F.regexp_replace("value", r"\n\z", ""))  # the writer ends each file with a line feed of its own
+    return lines(df, F.col("_metadata.file_path"), "value")
 
 
 def write_outline(parsed: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the ``line`` column of each file again, one text row for each file, lines in order."""
-    parsed.groupBy("file").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("value")
-    ).select("value").write.mode(mode).text(path)
+    """Write the ``line`` column of each outline again, lines in order, one text file below a folder ``file=<name>`` for each."""
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
+    parsed.groupBy(F.col("file").cast("string").alias("file")).agg(text.alias("value")).write.mode(mode).partitionBy("file").text(path)
