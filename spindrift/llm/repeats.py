@@ -17,8 +17,11 @@ document with a smaller id.
    ``length``, so that the interval is always that of a whole window. Its smallest document is
    what the window's occurrences are held against.
 4. Places whose document is larger than that are marked, merged per document, and cut out.
+   Places of strings that occur very often are not shuffled: what the index says of
+   these strings is of bounded size and sent to the places.
 
-A text equal to that of a smaller document is repeated as a whole and needs no index.
+A text equal to that of a smaller document is repeated as a whole and needs no index. Such texts are found
+through the least ids of parts of their rows, so that a text of very many rows is not met by one task.
 
 Edge cases: null texts are empty; texts shorter than ``length`` lose nothing;
 rows that repeat an id count as one document with several texts, each cut by itself; rows with a null
@@ -40,6 +43,8 @@ from pyspark.sql import functions as F
 from spindrift.llm.common import Stages, partitions
 
 ANCHOR = 24
+#: Parts in which the rows of equal texts are met.
+SALTS = 256
 #: Windows handled at a time; a longer text is cut into overlapping parts.
 PART = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -155,8 +160,11 @@ def _bitmap(bits: int, size: int):
 _MAPS: dict[str, np.ndarray] = {}
 
 
-def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets: int):
-    """Occurrences ``m, h, id, pos``; and, for each bucket, the distinct strings of a flush with their least and greatest ids, packed."""
+def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets: int, by_text: bool):
+    """Occurrences ``m, h, id, th, pos``; and, for each bucket, the distinct strings of a flush with their least and greatest ids and counts, packed.
+
+    by_text: ``th`` is the text's hash (Spark's xxhash64), else null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _MAPS:
@@ -167,12 +175,12 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                 full[b * step : (b + 1) * step] = np.frombuffer(zstandard.decompress(part), "u1")
             _MAPS[name] = full
         bitmap = _MAPS[name]
-        ms, hs, ids, ps, own = [], [], [], [], {}
+        ms, hs, ids, ths, ps, own = [], [], [], [], [], {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            n, kinds = len(ms), [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            names = ["m", "h", "id", "pos", "bucket", "strings"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ms, hs, ids, ps), kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[4:]], names)
+            n, kinds = len(ms), [*[pa.int64()] * 5, pa.int32(), pa.binary()]
+            names = ["m", "h", "id", "th", "pos", "bucket", "strings"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ms, hs, ids, ths, ps), kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[5:]], names)
             keys = np.array(list(own), "i8").reshape(-1, 2)
             rest = list(own.values())
             bucket = keys[:, 0] >> 8 & 0x7FFFFFFF
@@ -182,12 +190,12 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
             rows = []
             for b in np.flatnonzero(np.diff(cut)):
                 x = order[cut[b] : cut[b + 1]]
-                s, lo, hi = zip(*(rest[i] for i in x), strict=True)
-                parts = (keys[x], np.array(lo, "i8"), np.array(hi, "i8"), np.array([len(y) for y in s], "u4"))
+                s, lo, hi, k = zip(*(rest[i] for i in x), strict=True)
+                parts = (keys[x], np.array(lo, "i8"), np.array(hi, "i8"), np.array([len(y) for y in s], "u4"), np.array(k, "u4"))
                 raw = len(x).to_bytes(8, "little") + b"".join(y.tobytes() for y in parts) + b"".join(s)
                 rows.append((int(b), zstandard.compress(raw, 3)))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), k) for k in kinds[:4]] + [pa.array([r[i] for r in rows], kinds[4 + i]) for i in (0, 1)], names)
-            for x in (ms, hs, ids, ps, own):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), k) for k in kinds[:5]] + [pa.array([r[i] for r in rows], kinds[5 + i]) for i in (0, 1)], names)
+            for x in (ms, hs, ids, ths, ps, own):
                 x.clear()
 
         for batch in batches:
@@ -195,6 +203,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                 raw = _bytes(text)
                 if i is None or len(raw) < length:
                     continue
+                th = int(np.uint64(xxhash.xxh64_intdigest(raw, 42)).view("i8")) if by_text else None
                 for at, first, m in _runs(raw, length):
                     bit = m >> np.uint64(64 - size)
                     hit = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype("u1") & 1)
@@ -207,15 +216,18 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                         h = xxhash.xxh64_intdigest(s) - (1 << 63)
                         x = own.get((k, h))
                         if x is None:
-                            own[k, h] = [s, i, i]
-                        elif i < x[1]:
-                            x[1] = i
-                        elif i > x[2]:
-                            x[2] = i
+                            own[k, h] = [s, i, i, 1]
+                        else:
+                            x[3] += 1
+                            if i < x[1]:
+                                x[1] = i
+                            elif i > x[2]:
+                                x[2] = i
                         hs.append(h)
                     ms += keys
                     ps += starts
                     ids += [i] * len(starts)
+                    ths += [th] * len(starts)
                 if len(ms) > 60_000:
                     yield from flush()
         if ms:
@@ -224,22 +236,23 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
     return run
 
 
-def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
-    """Keys, strings, least and greatest ids, each string once."""
+def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, strings, least and greatest ids, counts, each string once."""
     own: dict[tuple[int, int], list] = {}
     for p in packed:
         raw = zstandard.decompress(p)
         n = int.from_bytes(raw[:8], "little")
         keys, lo, hi = np.frombuffer(raw, "i8", 2 * n, 8).reshape(-1, 2), np.frombuffer(raw, "i8", n, 8 + 16 * n), np.frombuffer(raw, "i8", n, 8 + 24 * n)
-        at = 8 + 36 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "u4", n, 8 + 32 * n).astype("i8"))])
-        for m, h, a, b, i, j in zip(*keys.T.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), strict=False):
+        at = 8 + 40 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "u4", n, 8 + 32 * n).astype("i8"))])
+        count = np.frombuffer(raw, "u4", n, 8 + 36 * n)
+        for m, h, a, b, i, j, k in zip(*keys.T.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), count.tolist(), strict=False):
             x = own.get((m, h))
             if x is None:
-                own[m, h] = [raw[a:b], i, j]
+                own[m, h] = [raw[a:b], i, j, k]
             else:
-                x[1], x[2] = min(x[1], i), max(x[2], j)
+                x[1], x[2], x[3] = min(x[1], i), max(x[2], j), x[3] + k
     rest = list(own.values())
-    return np.array(list(own), "i8"), [x[0] for x in rest], np.array([x[1] for x in rest], "i8"), np.array([x[2] for x in rest], "i8")
+    return np.array(list(own), "i8"), [x[0] for x in rest], *(np.array([x[c] for x in rest], "i8") for c in (1, 2, 3))
 
 
 class RunLengthIndex:
@@ -301,9 +314,11 @@ class RunLengthIndex:
                 row = self.start[self.interval[self.extend(row, self.text[self.begin[lanes] + place].astype("i8"))]]
 
 
-def _index(length: int):
+def _index(length: int, often: int):
+    """What an index says of its strings: ``a`` to ``b`` is held by document ``low``; hot: strings that occur more than ``often`` times."""
+
     def run(table: pa.Table) -> pa.Table:
-        keys, strings, lo, hi = _unpack(table.column("strings").to_pylist())
+        keys, strings, lo, hi, count = _unpack(table.column("strings").to_pylist())
         index = RunLengthIndex(strings, lo, length)
         parts = list(index.stream())
         who, off, low = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -314,7 +329,8 @@ def _index(length: int):
         first = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (off[1:] != off[:-1] + 1) | (low[1:] != low[:-1])])) if len(who) else np.empty(0, "i8")
         stop = np.append(first[1:], len(who)) - 1 if len(first) else first
         own = keys[who[first]]
-        return pa.table({"m": np.ascontiguousarray(own[:, 0]), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first]})
+        hot = (count[who[first]] > often).astype("i4")
+        return pa.table({"m": np.ascontiguousarray(own[:, 0]), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first], "hot": hot})
 
     return run
 
@@ -347,36 +363,57 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20, max_bits: int = 29) -> DataFrame:
+def _copies(light: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """Keys of the rows whose text a smaller id has, too. Rows of a text meet its least id in SALTS parts."""
+    salted = light.where(F.col("n") >= length).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    part = salted.groupBy("md5", "salt").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    text = part.groupBy("md5").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
+    least = part.select("md5", "salt").join(text.select("md5", "lo"), "md5")
+    return salted.join(least, ["md5", "salt"]).where("id > lo").select(*keys, F.lit(True).alias("whole")).distinct()
+
+
+def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20, max_bits: int = 29, hot_rows: int = 1 << 17) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row.
 
-    bucket_bytes: size of an index; max_bits: the bit map has 2^max_bits bits at most.
+    bucket_bytes: size of an index; max_bits: the bit map has 2^max_bits bits at most; hot_rows: strings that occur
+    more than once in so many bytes of the corpus are hot. As every window belongs to one occurrence, hot
+    strings have fewer than hot_rows windows together, which bounds what is broadcast of them.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "repeats")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    th = F.xxhash64(F.coalesce("t", F.lit("")))
     # Texts seen before: by their hash, without the texts themselves.
-    light = stages.put(own.where("id is not null").select("id", F.md5(F.col("t").cast("binary")).alias("md5"), F.coalesce(F.octet_length("t"), F.lit(0)).alias("n")), "light")
-    total = light.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    size = min(max_bits, max(20, int(total).bit_length()))
-    bits = min(size - 6, max(2, (partitions(spark) - 1).bit_length()))
+    light = stages.put(own.where("id is not null").select("id", th.alias("th"), F.md5(F.col("t").cast("binary")).alias("md5"), F.coalesce(F.octet_length("t"), F.lit(0)).alias("n")), "light")
+    total = int(light.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    by_text = not light.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").isEmpty()
+    keys = ["id", "th"] if by_text else ["id"]
+    copies = stages.put(_copies(light, keys, length), "copies")
+    stages.drop("light")
+    size = min(max_bits, max(20, total.bit_length()))
+    # A bucket of minimizers comes from about 16 MB of texts.
+    bits = min(size - 12, max(2, (partitions(spark) - 1).bit_length(), (total >> 24).bit_length()))
     packed = own.where("id is not null").select("t").mapInArrow(_first_pass(length, bits), "bucket int, m binary, t binary")
     parts = packed.groupBy("bucket").applyInArrow(_bitmap(bits, size), "bucket int, part binary").collect()  # 2^max_bits bits together at most, compressed
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
     del packed, parts
-    n = max(1, -(-int(total) // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
-    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n), "m long, h long, id long, pos long, bucket int, strings binary")
+    n = max(1, -(-total // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
+    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n, by_text), "m long, h long, id long, th long, pos long, bucket int, strings binary")
     seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
-    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length), "m long, h long, a long, b long, low long")
-    found = stages.put(found, "found")
+    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows), "m long, h long, a long, b long, low long, hot int")
+    found = stages.put(found, "found", ["hot"])
     stages.drop("seen/kind=1")
     del passed
-    spans = seen.where("kind = 0").select("m", "h", "id", "pos").join(found, ["m", "h"]).where("low < id").select("id", (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
-    marks = spans.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("marks"))
-    copies = light.join(light.groupBy("md5").agg(F.min("id").alias("lo")), "md5").where((F.col("id") > F.col("lo")) & (F.col("n") >= length))
-    per_doc = stages.put(marks.join(copies.select("id", F.lit(True).alias("whole")).distinct(), "id", "full"), "marks")
-    stages.drop("seen", "found", "light")
-    return own.join(per_doc, "id", "left").select("id", "t", "whole", "marks").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    places = seen.where("kind = 0").select("m", "h", *keys, "pos")
+    hot, rest = (found.where(f"hot = {k}").drop("hot") for k in (1, 0))
+    # Fewer than hot_rows rows.
+    met = places.join(F.broadcast(hot), ["m", "h"]).unionByName(places.join(F.broadcast(hot.select("m", "h").distinct()), ["m", "h"], "left_anti").join(rest, ["m", "h"]))
+    spans = met.where("low < id").select(*keys, (F.col("pos") + F.col("a")).alias("a"), (F.col("pos") + F.col("b")).alias("b"))
+    marks = spans.groupBy(*keys).agg(F.collect_set(F.struct("a", "b")).alias("marks"))
+    per_doc = stages.put(marks.join(copies, keys, "full"), "marks")
+    stages.drop("seen", "found", "copies")
+    asked = own.withColumn("th", th) if by_text else own
+    return asked.join(per_doc, keys, "left").select("id", "t", "whole", "marks").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:

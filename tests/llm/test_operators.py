@@ -106,14 +106,24 @@ def brute_repeats(rows, w=50):
     return out
 
 
-def test_repeats(spark):
+@pytest.mark.parametrize("hot_rows", [1, 500, 1 << 17])
+def test_repeats(spark, hot_rows):
+    """No string, some strings or all strings occur often enough to be hot."""
     rows, df = fixture(spark)
     rows += [(100, "ab" * 300, "", 0, 0), (101, "x" + "ab" * 200, "", 0, 0), (102, "a" * 49, "", 0, 0)]
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(spark.createDataFrame(rows, DOC).repartition(4)).collect()}
+    rows += [(200 + i, rows[3][1] if i % 2 else f"{i} {rows[4][1]}", "", 0, 0) for i in range(60)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(spark.createDataFrame(rows, DOC).repartition(4), hot_rows=hot_rows).collect()}
     assert got == brute_repeats(rows)
     with_null = repeats.remove_repeats(spark.createDataFrame([(None, rows[0][1]), (1, rows[0][1])], "doc_id long, text string")).collect()
     assert {(r.doc_id, r.n_removed) for r in with_null} == {(None, 0), (1, 0)}
     assert repeats.remove_repeats(empty(spark)).count() == 0
+    a, b, c = (rows[i][1] * 3 for i in range(3))
+    twice = repeats.remove_repeats(spark.createDataFrame([(1, a), (2, "x" + a), (2, b), (2, b), (3, b), (3, c)], "doc_id long, text string")).collect()
+    want = [(1, len(a.encode()), a), (2, 1 + len(a.encode()), "x"), (2, len(b.encode()), b), (2, len(b.encode()), b), (3, len(b.encode()), ""), (3, len(c.encode()), c)]
+    # A text that holds itself three times repeats itself within one document alone, which takes nothing.
+    shared = lambda t: any(t.encode()[p : p + 50] in x.encode() for x in (a, b, c) if x != t for p in range(len(t.encode()) - 49))
+    assert not any(map(shared, (a, b, c)))
+    assert sorted((r.doc_id, r.n_bytes, bytes(r.kept).decode()) for r in twice) == sorted(want)
 
 
 def test_run_length_index():
