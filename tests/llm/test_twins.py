@@ -46,9 +46,10 @@ def test_near_duplicates_equal_an_exact_join(spark, options):
     assert got == want and any(c != i for i, (_, c) in want.items())
 
 
-def tree(rows, depth=4, least=0.75):
-    """Single-process line dedup of (id, text) with distinct ids: kept texts."""
+def tree(rows, depth=4, least=0.75, classes=None):
+    """Single-process line dedup of (id, text) with distinct ids: kept texts. classes: of copies, by id; else each document is its own."""
     hashes = {}
+    of = classes or {i: i for i, _ in rows}
 
     def mask(line):
         tokens = [t for t in re.split("[ \t\r\x0b\x0c]+", line) if t]
@@ -76,7 +77,12 @@ def tree(rows, depth=4, least=0.75):
     places = collections.defaultdict(list)
     for i, p, m, _ in lines:
         places[template[m]].append((i, p))
-    gone = {x for v in places.values() if len({i for i, _ in v}) > 1 for x in sorted(v)[1:]}
+    gone = set()
+    for v in places.values():
+        if len({of[i] for i, _ in v}) > 1:
+            # The class of the first place keeps the line, once in a document.
+            stay = {i: p for i, p in sorted(v, reverse=True) if of[i] == of[min(v)[0]]}
+            gone.update((i, p) for i, p in v if stay.get(i) != p)
     return {i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in rows}
 
 
@@ -212,3 +218,134 @@ def test_shared_folder_is_needed_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         common.shared_dir(Session)
+
+
+def packed_as_best_fit(pieces, bins, capacity):
+    """pieces: (doc_id, piece, length, source, cluster); bins: bin and offset of each. Every piece, longest first, is in a compatible bin with the least residual."""
+    left, holds = {}, {}
+    for i, k, n, source, cluster in sorted(pieces, key=lambda x: (-x[2], x[0], x[1])):
+        b, offset = bins[i, k]
+        if n == 0:
+            assert b is None
+            continue
+        own = {("source", source)} - {("source", None)} | {("cluster", cluster)}
+        fits = [left[x] for x in left if left[x] >= n and not holds[x] & own]
+        assert b in left if fits else b not in left, (i, k)
+        if fits:
+            assert left[b] == min(fits) and not holds[b] & own and offset == capacity - left[b]
+        else:
+            assert offset == 0
+        left[b] = left.get(b, capacity) - n
+        holds[b] = holds.get(b, set()) | own
+
+
+def memberships(texts, labels, domains):
+    """Naive Bayes of a few domains on all words that occur five times or more: tokens and posteriors of each text."""
+    words = lambda t: [w for w in re.split("[ \t\n\x0b\f\r]+", t or "") if w]
+    counts = {d: collections.Counter() for d in domains}
+    for i, d in labels.items():
+        if i in texts:
+            counts[d].update(words(texts[i]))
+    total = {d: sum(c.values()) for d, c in counts.items()}
+    known = {w: sum(c[w] for c in counts.values()) for w in set().union(*counts.values())}
+    known = {w: n for w, n in known.items() if n >= 5}
+    prior = collections.Counter(labels.values())
+    out = {}
+    for i, t in texts.items():
+        ws = words(t)
+        hit = [w for w in ws if w in known]
+        z = []
+        for d in domains:
+            s = sum(math.log((counts[d][w] + known[w] / sum(total.values())) / (total[d] + 1)) for w in hit)
+            z.append(math.log((prior[d] + 1) / (sum(prior.values()) + len(domains))) + (s / math.sqrt(len(hit)) if hit else 0))
+        e = np.exp(np.array(z) - max(z))
+        out[i] = (len(ws), e / e.sum())
+    return out
+
+
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    """Every stage against a plain version on what the stage before left; then run() against the last of them."""
+    import public_tokenizers
+    import tokenizers
+
+    import corpus_pipeline
+
+    _SPARK[:] = [spark]
+    rnd, names = random.Random(21), ["doc_id", "text", "lang", "source", "n_chars"]
+    vocabulary = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(120)]
+    line = lambda poor, n=12: " ".join(rnd.choice(vocabulary[60:] if poor and rnd.random() < 0.6 else vocabulary[:60]) for _ in range(n))
+    shared = ["all rights of this page belong to nobody", "read more about us here", "posted on {} by the desk of the town"]
+    texts, bad, poor = {}, set(), {}
+    for g in range(70):
+        lines = [line(g % 3 == 0) for _ in range(rnd.randint(1, 9))]
+        if g % 4 == 0:
+            lines.insert(rnd.randint(0, len(lines)), rnd.choice(shared).format(rnd.randint(1, 99)))
+        if g % 7 == 0:
+            lines.append(lines[0])
+        if g % 5 == 1:
+            lines[-1] += " " + " ".join(rnd.choice(["vile", "scum", "filth"]) for _ in range(4))
+        for k in range(1 if g % 3 else rnd.randint(2, 5)):
+            own = list(lines)
+            if k > 1:  # near copies
+                own[-1] += " " + line(False, 1)
+            i = rnd.randrange(10_000)
+            while i in texts:
+                i += 1
+            texts[i], poor[i] = "\n".join(own), g % 3 == 0
+            if g % 5 == 1:
+                bad.add(i)
+    texts |= {10_001: "", 10_002: None, 10_003: " \n", 10_004: line(False, 3000).replace(" ", "\n", 40)}
+    rows = [(i, t, "en", rnd.choice(["hot", "hot", f"s{i % 6}", None]), len(t or "")) for i, t in texts.items()]
+    labels = [(i, 1 - poor[i], int(i in bad)) for i in poor]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    source = {r[0]: r[3] for r in rows}
+
+    def stage(k, texts):
+        docs = spark.createDataFrame([(i, t, "en", source[i], len(t or "")) for i, t in texts.items()], schema).repartition(3)
+        out = corpus_pipeline.STAGES[k][1](spark, docs, str(tmp_path))
+        assert k == 4 or out.columns == names
+        return out.collect()
+
+    # Toxicity: documents with a word that only toxic ones hold.
+    left = {r.doc_id: r.text for r in stage(0, texts)}
+    assert left == {i: t for i, t in texts.items() if i not in bad} and bad
+    # Line dedup over classes of near copies.
+    classes = {i: c for i, (_, c) in exact_components(list(left.items()), 5, 80).items()}
+    got = {r.doc_id: r.text for r in stage(1, left)}
+    assert got == tree(list(left.items()), classes=classes) and got != left
+    # Near-dedup: the smallest id of each component.
+    left = {r.doc_id: r.text for r in stage(2, got)}
+    assert left == {i: got[i] for i, (_, c) in exact_components(list(got.items()), 5, 80).items() if i == c} and len(left) < len(got)
+    # Mixing: memberships of a plain classifier, totals as near the target as a plain projected gradient comes, rows taken by their rate.
+    domains, weights = ["good", "poor"], corpus_pipeline.WEIGHTS
+    own = memberships(left, {i: domains[p] for i, p in poor.items()}, domains)
+    quality = spark.createDataFrame([(i, domains[p]) for i, p in poor.items()], "doc_id long, domain string")
+    docs = spark.createDataFrame([(i, t) for i, t in left.items()], "doc_id long, text string")
+    chance = F.pmod(F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))), F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
+    mixed = {r.doc_id: r for r in mixing.mix(docs, quality, weights, cap=1.0).withColumn("u", chance).collect()}
+    a = []
+    for i, r in mixed.items():
+        n, p = own[i]
+        assert r.n_tokens == n and np.allclose([r.posteriors[d] for d in domains], p, atol=1e-9), i
+        a.append(n * p)
+    a, rate = np.array(a), np.array([r.rate for r in mixed.values()])
+    share = np.array([weights[d] for d in domains])
+    target = share * min(t / w for t, w in zip(a.sum(0), share, strict=True))
+    plain = np.ones(len(a))
+    for _ in range(20_000):
+        plain = np.clip(plain - a @ (a.T @ plain - target) / np.linalg.norm(a.T @ a, 2), 0, 1)
+    far, least = (np.linalg.norm(a.T @ r - target) / target.sum() for r in (rate, plain))
+    assert ((rate >= 0) & (rate <= 1)).all() and far <= 1.02 * least + 1e-5, (far, least)
+    taken = {i: left[i] for i, r in mixed.items() if math.floor(r.rate + r.u) > 0}
+    assert {r.doc_id: r.text for r in stage(3, left)} == taken and 0 < len(taken) < len(left)
+    # Packing: pieces by the library's ids, each in the tightest bin without its source or its copies.
+    encode = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    size = {i: len(encode(t or "", add_special_tokens=False).ids) for i, t in taken.items()}
+    cap = corpus_pipeline.CAPACITY
+    pieces = [(i, k, min(cap, size[i] - k * cap), source[i], " ".join((t or "").lower().split())) for i, t in taken.items() for k in range(max(1, -(-size[i] // cap)))]
+    last = stage(4, taken)
+    assert sorted((r.doc_id, r.piece, r.n_tokens) for r in last) == sorted(x[:3] for x in pieces)
+    packed_as_best_fit(pieces, {(r.doc_id, r.piece): (r.bin_id, r.bin_offset) for r in last}, cap)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str) == sorted(map(tuple, last), key=str)
