@@ -9,7 +9,7 @@ document with a smaller id.
    (false positives cost work, not correctness).
 2. A second pass cuts each text into strings: runs of windows with one such
    minimizer. Equal strings are aggregated (smallest and largest document) before they
-   are moved and indexed, and occurrences are kept as hashes and places.
+   are moved and indexed, and occurrences are kept as hashes (of 96 bits: the string's, and half of its minimizer) and places.
 3. The distinct strings are dealt by minimizer to buckets. For each bucket the windows
    are sorted, their Burrows-Wheeler transform is run-length compressed, and its
    intervals of equal windows get the smallest document that holds them. The strings stream through it backwards from their
@@ -178,7 +178,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
         ms, hs, ids, ths, ps, own = [], [], [], [], [], {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            n, kinds = len(ms), [*[pa.int64()] * 5, pa.int32(), pa.binary()]
+            n, kinds = len(ms), [pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary()]
             names = ["m", "h", "id", "th", "pos", "bucket", "strings"]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ms, hs, ids, ths, ps), kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[5:]], names)
             keys = np.array(list(own), "i8").reshape(-1, 2)
@@ -191,7 +191,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
             for b in np.flatnonzero(np.diff(cut)):
                 x = order[cut[b] : cut[b + 1]]
                 s, lo, hi, k = zip(*(rest[i] for i in x), strict=True)
-                parts = (keys[x], np.array(lo, "i8"), np.array(hi, "i8"), np.array([len(y) for y in s], "u4"), np.array(k, "u4"))
+                parts = (keys[x, 0].astype("i4"), keys[x, 1], np.array(lo, "i8"), np.array(hi, "i8"), np.array([len(y) for y in s], "u4"), np.array(k, "u4"))
                 raw = len(x).to_bytes(8, "little") + b"".join(y.tobytes() for y in parts) + b"".join(s)
                 rows.append((int(b), zstandard.compress(raw, 3)))
             yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), k) for k in kinds[:5]] + [pa.array([r[i] for r in rows], kinds[5 + i]) for i in (0, 1)], names)
@@ -224,7 +224,7 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                             elif i > x[2]:
                                 x[2] = i
                         hs.append(h)
-                    ms += keys
+                    ms += m[hit].astype("u4").view("i4").tolist()
                     ps += starts
                     ids += [i] * len(starts)
                     ths += [th] * len(starts)
@@ -242,10 +242,11 @@ def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, n
     for p in packed:
         raw = zstandard.decompress(p)
         n = int.from_bytes(raw[:8], "little")
-        keys, lo, hi = np.frombuffer(raw, "i8", 2 * n, 8).reshape(-1, 2), np.frombuffer(raw, "i8", n, 8 + 16 * n), np.frombuffer(raw, "i8", n, 8 + 24 * n)
-        at = 8 + 40 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "u4", n, 8 + 32 * n).astype("i8"))])
-        count = np.frombuffer(raw, "u4", n, 8 + 36 * n)
-        for m, h, a, b, i, j, k in zip(*keys.T.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), count.tolist(), strict=False):
+        ms = np.frombuffer(raw, "i4", n, 8)
+        hs, lo, hi = np.frombuffer(raw, "i8", 3 * n, 8 + 4 * n).reshape(3, n)
+        size, count = np.frombuffer(raw, "u4", 2 * n, 8 + 28 * n).reshape(2, n)
+        at = 8 + 36 * n + np.concatenate([[0], np.cumsum(size.astype("i8"))])
+        for m, h, a, b, i, j, k in zip(ms.tolist(), hs.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), count.tolist(), strict=False):
             x = own.get((m, h))
             if x is None:
                 own[m, h] = [raw[a:b], i, j, k]
@@ -330,7 +331,7 @@ def _index(length: int, often: int):
         stop = np.append(first[1:], len(who)) - 1 if len(first) else first
         own = keys[who[first]]
         hot = (count[who[first]] > often).astype("i4")
-        return pa.table({"m": np.ascontiguousarray(own[:, 0]), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first], "hot": hot})
+        return pa.table({"m": own[:, 0].astype("i4"), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first], "hot": hot})
 
     return run
 
@@ -398,9 +399,9 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
     del packed, parts
     n = max(1, -(-total // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
-    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n, by_text), "m long, h long, id long, th long, pos long, bucket int, strings binary")
+    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n, by_text), "m int, h long, id long, th long, pos long, bucket int, strings binary")
     seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
-    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows), "m long, h long, a long, b long, low long, hot int")
+    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows), "m int, h long, a long, b long, low long, hot int")
     found = stages.put(found, "found", ["hot"])
     stages.drop("seen/kind=1")
     del passed
