@@ -95,7 +95,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: No stage but the row filters can be told in SQL; a brute-force comparison of the whole pipeline is still to be written.
+#: Most stages cannot be told in SQL; tests/llm/test_twins.py holds a plain version of each, and of the whole.
 ORACLE_SQL = None
 QUERIES = {"pipeline": run}
 QUERY_SQL: dict[str, str] = {}
