@@ -47,7 +47,7 @@ class Stages:
     """Tables that one query writes to the shared folder, so that lost executors cost only the running stage.
 
     ``put`` writes and rereads a stage. ``drop`` removes one that is no longer
-    read. What the result still reads goes when the session's process ends.
+    read, ``finish`` writes the last one and removes all others of the query. What the result still reads goes when the session's process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -72,11 +72,20 @@ class Stages:
         for stage in stages:
             self._remove(self.path(stage))
 
+    def finish(self, df: DataFrame, stage: str) -> DataFrame:
+        out = self.put(df, stage)
+        fs, root = self._file_system(self.root)
+        self.drop(*[name for x in fs.listStatus(root) if (name := x.getPath().getName()) != stage])
+        return out
+
+    def _file_system(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
     def _remove(self, path: str) -> None:
         try:
-            jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            fs, p = self._file_system(path)
+            fs.delete(p, True)
         except Exception:  # noqa: BLE001  the session has ended; the folder's owner clears it
             pass
 

@@ -321,7 +321,7 @@ def _regions(members: DataFrame, comp: DataFrame, depth: int, crowded: int) -> D
     return small.unionByName(first.select("p", "tree", "id", "comp", "m", F.lit(True).alias("divided")))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, depth: int = 3, block: int = 1024, crowded: int = 4096, stages: Stages | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, depth: int = 3, block: int = 1024, crowded: int = 4096) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row.
 
     words: words of a shingle; percent: 100 x the least Jaccard similarity of a
@@ -329,7 +329,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     block; crowded: members from which a region is divided.
     """
     spark = docs.sparkSession
-    stages = stages or Stages(spark, "minhash")
+    stages = Stages(spark, "minhash")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stages.put(own.mapInArrow(_sign(words), "doc_id long, n_shingles long, key binary, sig binary, low binary"), "signed")
     reps = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "sig", "low"), "doc_id").alias("r"))
@@ -377,12 +377,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     stages.drop("hits", "texts1")
 
     of_class = reps.join(links.comp, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
-    return (
+    out = (
         signed.select("doc_id", "n_shingles", "key")
         .join(of_class, "key", "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+    return stages.finish(out, "classes")
 
 
 class _Links:

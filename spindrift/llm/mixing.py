@@ -117,9 +117,9 @@ def fit_rates(members: DataFrame, weights: list[float], *, budget: float | None
     return rate(), {"target": target, "got": got, "steps": len(steps)}
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, cap: float | None = None, max_labelled: int = 20_000, max_words: int = 2000, stages: Stages | None = None) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", budget: float | None = None, cap: float | None = None, max_labelled: int = 20_000, max_words: int = 2000) -> DataFrame:
     """All rows and columns with ``n_tokens, posteriors (map), rate, copies``."""
-    stages = stages or Stages(docs.sparkSession, "mixing")
+    stages = Stages(docs.sparkSession, "mixing")
     id_, th = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce(text_col, F.lit("")))
     own = docs.select(id_.alias("id"), th.alias("th"), F.col(text_col).alias("t"))
     labelled = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(domain_col).alias("domain"))
@@ -133,7 +133,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, id_c
     )
     names = kept_names(docs.columns, ADDED)
     keyed = docs.select(F.struct("*").alias("row"), id_.alias("__id"), th.alias("__th"))
-    return keyed.join(stages.put(rated, "rated"), ["__id", "__th"]).select(*[F.col("row").getField(c).alias(names[c]) for c in docs.columns], *ADDED)
+    return keyed.join(stages.finish(rated, "rated"), ["__id", "__th"]).select(*[F.col("row").getField(c).alias(names[c]) for c in docs.columns], *ADDED)
 
 
 def by_quality_and_toxicity(labels: DataFrame) -> DataFrame:
