@@ -22,18 +22,21 @@ CAPACITY = 4096
 WEIGHTS = {"good": 0.95, "poor": 0.05}
 
 
-def numbered(docs: DataFrame, stages: Stages) -> tuple[DataFrame, str]:
-    """Docs with a number for each row, written so that it stays the same; the number's column."""
+def by_id(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """Docs and the column that tells their rows apart: the ids, or where ids repeat or are null a number for each row of a written copy."""
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").isEmpty():
+        return docs, "doc_id"
     row = free_name("row", docs.columns)
-    return stages.put(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+    return Stages(spark, "rows").put(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of TOXIC_FROM or more go."""
-    rows, row = numbered(docs, Stages(spark, "toxic"))
-    scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col=row)
-    gone = scores.where(F.col("score") >= TOXIC_FROM).select(F.col("row").alias(row))
-    return rows.join(gone, row, "left_anti").select(docs.columns)
+    """Documents with a toxicity score of TOXIC_FROM or more go. Rows equal in id and text have one score."""
+    stages, row = Stages(spark, "toxic"), free_name("row", docs.columns)
+    rows = docs.withColumn(row, F.xxhash64(F.coalesce("text", F.lit(""))))
+    scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col=row, stages=stages)
+    gone = stages.finish(scores.where(F.col("score") >= TOXIC_FROM).select("doc_id", "row").distinct(), "gone")
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows[row] == gone["row"]), "left_anti").select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,29 +44,27 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near copies, as the next stage judges them, lose the same lines and so reach it whole.
     """
-    stages = Stages(spark, "classes")
-    rows, row = numbered(docs, stages)
-    near = minhash.near_duplicates(rows, id_col=row, stages=stages)
+    rows, row = by_id(spark, docs)
+    near = minhash.near_duplicates(rows, id_col=row)
     of = free_name("class", rows.columns)
-    classes = stages.put(near.select(F.col("doc_id").alias(row), F.col("component_id").alias(of)), "classes")
-    stages.drop("signed", "reps")
-    classed = stages.put(rows.join(classes, row), "classed")
-    stages.drop("rows", "classes")
-    out = linededup.dedup_lines(classed, class_col=of)
-    names = kept_names(classed.columns, linededup.ADDED)
+    classes = near.select(F.col("doc_id").alias(row), F.col("component_id").alias(of))
+    out = linededup.dedup_lines(Stages(spark, "classes").put(rows.join(classes, row), "classed"), class_col=of)
+    names = kept_names([*rows.columns, of], linededup.ADDED)
     length = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return out.select(*[length.get(c, F.col(names[c])).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row with the smallest id stays (null only where all are), as does one of the rows that repeat an id and a blank text."""
-    rows, row = numbered(docs, Stages(spark, "near"))
-    near = minhash.near_duplicates(rows, id_col=row).withColumnRenamed("doc_id", "row")
-    ids = rows.select(F.col(row).alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows, row = by_id(spark, docs)
+    near = minhash.near_duplicates(rows, id_col=row).withColumnRenamed("doc_id", "near")
+    if row == "doc_id":
+        return rows.join(near.where("not kept").select(F.col("near").alias(row)), row, "left_anti").select(docs.columns)
+    ids = rows.select(F.col(row).alias("near"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     group = F.when((F.col("n_shingles") > 0) | F.col("doc_id").isNull(), F.col("component_id"))
     keys = [group.alias("g"), F.when(group.isNull(), F.col("doc_id")).alias("i"), F.when(group.isNull(), F.col("th")).alias("h")]
-    first = near.join(ids, "row").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return rows.join(first.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)
+    first = near.join(ids, "near").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "near")).alias("first"))
+    return rows.join(first.select(F.col("first.near").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
