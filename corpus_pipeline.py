@@ -30,12 +30,17 @@ def by_id(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
     return Stages(spark, "rows").put(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """Keys of rows, to be sent to the texts instead of shuffling these where there are at most minhash.FEW; a join by key otherwise."""
+    return F.broadcast(keys) if keys.count() <= minhash.FEW else keys
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of TOXIC_FROM or more go. Rows equal in id and text have one score."""
     stages, row = Stages(spark, "toxic"), free_name("row", docs.columns)
     rows = docs.withColumn(row, F.xxhash64(F.coalesce("text", F.lit(""))))
     scores = toxicity.score(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row_col=row, stages=stages)
-    gone = stages.finish(scores.where(F.col("score") >= TOXIC_FROM).select("doc_id", "row").distinct(), "gone")
+    gone = few(stages.finish(scores.where(F.col("score") >= TOXIC_FROM).select("doc_id", "row").distinct(), "gone"))
     return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows[row] == gone["row"]), "left_anti").select(docs.columns)
 
 
@@ -48,7 +53,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     near = minhash.near_duplicates(rows, id_col=row)
     of = free_name("class", rows.columns)
     classes = near.select(F.col("doc_id").alias(row), F.col("component_id").alias(of))
-    out = linededup.dedup_lines(Stages(spark, "classes").put(rows.join(classes, row), "classed"), class_col=of)
+    out = linededup.dedup_lines(Stages(spark, "classes").put(rows.join(few(classes), row), "classed"), class_col=of)
     names = kept_names([*rows.columns, of], linededup.ADDED)
     length = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return out.select(*[length.get(c, F.col(names[c])).alias(c) for c in docs.columns])
@@ -59,12 +64,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows, row = by_id(spark, docs)
     near = minhash.near_duplicates(rows, id_col=row).withColumnRenamed("doc_id", "near")
     if row == "doc_id":
-        return rows.join(near.where("not kept").select(F.col("near").alias(row)), row, "left_anti").select(docs.columns)
+        return rows.join(few(near.where("not kept").select(F.col("near").alias(row))), row, "left_anti").select(docs.columns)
     ids = rows.select(F.col(row).alias("near"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
     group = F.when((F.col("n_shingles") > 0) | F.col("doc_id").isNull(), F.col("component_id"))
     keys = [group.alias("g"), F.when(group.isNull(), F.col("doc_id")).alias("i"), F.when(group.isNull(), F.col("th")).alias("h")]
     first = near.join(ids, "near").groupBy(*keys).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "near")).alias("first"))
-    return rows.join(first.select(F.col("first.near").alias(row)), row, "left_semi").select(docs.columns)
+    return rows.join(few(first.select(F.col("first.near").alias(row))), row, "left_semi").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
