@@ -61,25 +61,59 @@ def shingles(text: str | None, words: int) -> set[bytes]:
     return {b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
 
 
-class _Known(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxh3_64_intdigest(word)
-        if len(self) < 400_000:
-            self[word] = h
-        return h
+#: Bytes of text handled at a time, and of the longest words that are hashed together.
+PART, LONG = 1 << 16, 64
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", "u1"))
+_BYTE = _RNG.integers(1, 1 << 63, 256, dtype="u8")
+_BASE = 0x9E3779B97F4A7C15
+_POWER, _INVERSE = (np.cumprod(np.concatenate([np.ones(1, "u8"), np.full(PART, x, "u8")])) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def _words(raw: bytes) -> np.ndarray:
+    """Hashes of the words of at most PART bytes; long words are hashed one by one."""
+    data = np.frombuffer(raw, "u1")
+    edge = np.flatnonzero(np.diff(_BLANK[data], prepend=True, append=True))
+    start, stop = edge[::2], edge[1::2]
+    sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(_BYTE[data] * _POWER[: len(data)])])
+    h = (sums[stop] - sums[start]) * _INVERSE[start]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    for k in np.flatnonzero(stop - start > LONG).tolist():
+        h[k] = xxh3_64_intdigest(raw[start[k] : stop[k]])
+    return h
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, however long text and words are."""
+    if len(raw) <= PART:
+        return _words(raw)
+    out, at, size = [], 0, len(raw)
+    while at < size:
+        end = min(size, at + PART)
+        while end < size and end > at and not _BLANK[raw[end]]:
+            end -= 1
+        if end > at:
+            out.append(_words(raw[at:end]))
+        else:  # a word longer than a part
+            rest = raw[at:].lstrip()
+            word = rest.split(None, 1)[0] if rest else b""
+            end = size - len(rest) + len(word)
+            out.append(np.array([xxh3_64_intdigest(word)] if word else [], "u8"))
+        at = end
+    return np.concatenate(out)
 
 
 class Hasher:
-    """64-bit hashes of words, remembered up to a bound, and of the shingles made of them."""
+    """64-bit hashes of the shingles of a text, made of those of its words."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, _Known()
+        self.words = words
 
     def __call__(self, text: str | None) -> np.ndarray:
-        w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not w:
+        h = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+        if not len(h):
             return np.empty(0, "u8")
-        h = np.fromiter(map(self.known.__getitem__, w), "u8", len(w))
         n = max(1, len(h) - self.words + 1)
         out = np.zeros(n, "u8")
         for i in range(min(self.words, len(h))):
@@ -87,7 +121,9 @@ class Hasher:
             out ^= out >> np.uint64(29)
         if len(h) < self.words:
             out += np.uint64(len(h))
-        return np.unique(out * np.uint64(0xBF58476D1CE4E5B9))
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out.sort()
+        return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:

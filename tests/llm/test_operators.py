@@ -352,3 +352,21 @@ def test_embedding_join_does_not_shuffle_pairs(spark, tmp_path):
     assert shuffled(spark) - before < 4 * 3000 * 64 * 4
     assert out == {(i, int(near[i].sum()), want.get(i, i)) for i in range(3000)}
     assert out == {(r.vec_id, r.n_links, r.component_id) for r in embdedup.near_duplicates(df, tile=400, slab_bytes=1 << 19).collect()}
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """Words have one hash wherever they stand, none is hashed by itself unless it is long, and texts and words of any length are cut alike."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdeé<0") for _ in range(rnd.choice([1, 2, 5, 9, 64, 65])))
+    blank = lambda: "".join(rnd.choice(" \t\n\r\x0b\x0c") for _ in range(rnd.randint(1, 3)))
+    texts = ["", " ", "a", " a", "a ", "a\xa0b \x1c c"] + ["".join(x for _ in range(n) for x in (word(), blank())) for n in (1, 5, 20_000)]
+    texts += ["x " * 40_000, f"a {'b' * 200_000} c", "b" * 200_000, f"{'b' * (minhash.PART - 1)} a", f"{'b' * minhash.PART}  a"]
+    seen, single = {}, []
+    digest = minhash.xxh3_64_intdigest
+    monkeypatch.setattr(minhash, "xxh3_64_intdigest", lambda w: single.append(w) or digest(w))
+    for text in texts:
+        words = text.encode().split()
+        hashes = minhash.word_hashes(text.encode()).tolist()
+        assert len(hashes) == len(words) and all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen)
+    assert single and all(len(w) > minhash.LONG for w in single)
