@@ -10,7 +10,8 @@ document with a smaller id.
 2. A second pass cuts each text into strings: runs of windows with one such
    minimizer. Equal strings are aggregated (smallest and largest document) before they
    are moved and indexed, and occurrences are kept as hashes (of 96 bits: the string's, and half of its minimizer) and places.
-3. The distinct strings are dealt by minimizer to buckets. For each bucket the windows
+3. The distinct strings are dealt by minimizer to buckets; in a large corpus they are moved in
+   groups of buckets, so that they are packed by hundreds and not by few. For each bucket the windows
    are sorted, their Burrows-Wheeler transform is run-length compressed, and its
    intervals of equal windows get the smallest document that holds them. The strings stream through it backwards from their
    sampled ends: each step extends the match by one byte with a rank on the runs and caps it at
@@ -45,6 +46,8 @@ from spindrift.llm.common import Stages, partitions
 ANCHOR = 24
 #: Parts in which the rows of equal texts are met.
 SALTS = 256
+#: Groups of buckets up to which a bucket is a group, and buckets of a group at most.
+GROUPS, GROUP = 256, 16
 #: Windows handled at a time; a longer text is cut into overlapping parts.
 PART = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -161,7 +164,7 @@ _MAPS: dict[str, np.ndarray] = {}
 
 
 def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets: int, by_text: bool):
-    """Occurrences ``m, h, id, th, pos``; and, for each bucket, the distinct strings of a flush with their least and greatest ids and counts, packed.
+    """Occurrences ``m, h, id, th, pos``; and, for each bucket (or group of buckets), the distinct strings of a flush with their least and greatest ids and counts, packed.
 
     by_text: ``th`` is the text's hash (Spark's xxhash64), else null.
     """
@@ -315,11 +318,10 @@ class RunLengthIndex:
                 row = self.start[self.interval[self.extend(row, self.text[self.begin[lanes] + place].astype("i8"))]]
 
 
-def _index(length: int, often: int):
-    """What an index says of its strings: ``a`` to ``b`` is held by document ``low``; hot: strings that occur more than ``often`` times."""
+def _index(length: int, often: int, n_groups: int, n_buckets: int):
+    """What the indexes of a group's buckets say of their strings: ``a`` to ``b`` is held by document ``low``; hot: strings that occur more than ``often`` times."""
 
-    def run(table: pa.Table) -> pa.Table:
-        keys, strings, lo, hi, count = _unpack(table.column("strings").to_pylist())
+    def one(keys: np.ndarray, strings: list[bytes], lo: np.ndarray, hi: np.ndarray, count: np.ndarray) -> pa.Table:
         index = RunLengthIndex(strings, lo, length)
         parts = list(index.stream())
         who, off, low = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -333,6 +335,14 @@ def _index(length: int, often: int):
         hot = (count[who[first]] > often).astype("i4")
         return pa.table({"m": own[:, 0].astype("i4"), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first], "hot": hot})
 
+    def run(table: pa.Table) -> pa.Table:
+        keys, strings, *rest = _unpack(table.column("strings").to_pylist())
+        bucket = (keys[:, 0] >> 8 & 0x7FFFFFFF) % (n_groups * n_buckets) // n_groups
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        parts = [order[a:b] for a, b in zip(cut, cut[1:], strict=False) if a < b]
+        return pa.concat_tables([one(keys[x], [strings[i] for i in x.tolist()], *(r[x] for r in rest)) for x in parts])
+
     return run
 
 
@@ -399,9 +409,11 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
     del packed, parts
     n = max(1, -(-total // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
-    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n, by_text), "m int, h long, id long, th long, pos long, bucket int, strings binary")
+    per = max(1, min(GROUP, n // GROUPS))
+    n_groups = -(-n // per)
+    passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n_groups, by_text), "m int, h long, id long, th long, pos long, bucket int, strings binary")
     seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
-    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows), "m int, h long, a long, b long, low long, hot int")
+    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows, n_groups, per), "m int, h long, a long, b long, low long, hot int")
     found = stages.put(found, "found", ["hot"])
     stages.drop("seen/kind=1")
     del passed

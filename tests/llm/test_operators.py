@@ -370,3 +370,17 @@ def test_words_are_hashed_together(monkeypatch):
         assert len(hashes) == len(words) and all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
     assert len(set(seen.values())) == len(seen)
     assert single and all(len(w) > minhash.LONG for w in single)
+
+
+def test_buckets_of_a_large_corpus_are_moved_in_groups(spark, monkeypatch):
+    """What is packed at a time does not fall apart into a row for each of very many buckets, and the result is the same."""
+    rows, df = fixture(spark)
+    rows += [(200 + i, rows[3][1] if i % 2 else f"{i} {rows[4][1]}", "", 0, 0) for i in range(60)]
+    made = []
+    second = repeats._second_pass
+    monkeypatch.setattr(repeats, "_second_pass", lambda *a: made.append(a[5]) or second(*a))
+    monkeypatch.setattr(repeats, "GROUPS", 4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(spark.createDataFrame(rows, DOC).repartition(4), bucket_bytes=500).collect()}
+    assert got == brute_repeats(rows)
+    total = sum(len((r[1] or "").encode()) for r in rows)
+    assert made[0] <= -(-total // 1000) // 8
