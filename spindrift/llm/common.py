@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,10 +128,30 @@ def _small_star(e: DataFrame) -> DataFrame:
     return both.select("u", F.col("m").alias("v")).unionByName(both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, stages: Stages, name: str = "cc", max_rounds: int = 60) -> DataFrame:
+#: Links (16 bytes each) up to which the driver joins them itself instead of in rounds of queries.
+FEW_LINKS = 100_000
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the links, in order, and the smallest id that each is joined with."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    low = np.arange(len(ids))
+    while True:
+        x, y = low[a], low[b]
+        if (x == y).all():
+            return ids, ids[low]
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while (low[low] != low).any():
+            low = low[low]
+
+
+def components(edges: DataFrame, stages: Stages, name: str = "cc", max_rounds: int = 60, few: int = FEW_LINKS) -> DataFrame:
     """Connected components of ``a, b`` (long): rows ``id, component`` with the smallest id of each component.
 
-    Alternating large-star and small-star steps: each needs a minimum per node
+    The driver joins at most ``few`` links by itself: a round of queries costs it more memory
+    (plans, and threads that stay for a minute) than these do. More links do not reach it: they go through
+    alternating large-star and small-star steps. Each needs a minimum per node
     (combined before the shuffle) and an equi-join, so hubs are neither gathered
     nor replicated. Every round is a written stage. Ends when the links are
     stars around the components' minima.
@@ -137,6 +159,12 @@ def components(edges: DataFrame, stages: Stages, name: str = "cc", max_rounds: i
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = stages.put(e, f"{name}0")
+    if e.count() <= few:
+        links = e.toArrow()
+        ids, low = roots(*(links.column(c).to_numpy() for c in ("u", "v")))
+        found = stages.put(e.sparkSession.createDataFrame(pa.table({"id": pa.array(ids, pa.int64()), "component": pa.array(low, pa.int64())})).coalesce(1), f"{name}1")
+        stages.drop(f"{name}0")
+        return found
     for k in range(1, max_rounds):
         e = stages.put(_small_star(_large_star(e)), f"{name}{k}")
         stages.drop(f"{name}{k - 1}")

@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spindrift.llm import bpe, common, embdedup, linededup, minhash, mixing, packing, registry, repeats, tokenids, topk, toxicity, urlfilter
 
@@ -173,6 +174,33 @@ def test_components(spark):
     assert got == {i: c for i, c in want.items() if i in got} and {i for i, c in want.items() if c != i} <= set(got)
 
 
+def test_training_rows_are_the_least_and_bounded_before_they_meet(spark, monkeypatch):
+    rows = spark.range(0, 20_000, 1, 40).select(F.col("id").alias("doc_id"))
+    repeated = spark.range(0, 4000, 1, 8).select((F.col("id") % 3).alias("doc_id"))
+    for df, most in ((rows, 300), (rows, 30_000), (repeated, 700), (rows.limit(0), 5)):
+        put = []
+        stages = common.Stages(spark, "t")
+        monkeypatch.setattr(stages, "put", lambda df, name, put=put, own=stages.put: put.append(df) or own(df, name))
+        got = [r.h for r in toxicity.smallest(df, most, stages).select(F.xxhash64("doc_id").alias("h")).collect()]
+        every = sorted(r.h for r in df.select(F.xxhash64("doc_id").alias("h")).collect())
+        assert sorted(got) == every[:most]
+        if most == 300:
+            assert len(put) == 1 and "Filter (xxhash64(" in put[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_links_take_few_queries_and_give_the_same(spark):
+    rnd = random.Random(7)
+    edges = [(rnd.randint(-200, 200), rnd.randint(-200, 200)) for _ in range(250)] + [(1000 + i, 1001 + i) for i in range(30)] + [(None, 3), (5, 5)]
+    store = spark._jsparkSession.sharedState().statusStore()
+    for links in (edges, [(2, 2), (None, 1)]):
+        df = spark.createDataFrame(links, "a long, b long")
+        before = store.executionsCount()
+        got = sorted(map(tuple, common.components(df, common.Stages(spark, "t")).collect()))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert store.executionsCount() - before <= 6
+        assert got == sorted(map(tuple, common.components(df, common.Stages(spark, "t"), few=0).collect()))
+
+
 def test_embedding_edges(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, [float("nan"), 1.0]), (7, [0.0, 1.0, 0.0]), (8, [-0.0, 1.0, 0.0]), (None, [1.0, 0.0]), (9, []), (1, [1.0, 0.0])]
     got = sorted(((r.vec_id or 0), r.n_links, r.component_id, r.kept) for r in embdedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
