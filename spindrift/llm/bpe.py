@@ -24,8 +24,12 @@ CACHE, LONGEST = 800_000, 64
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _REST = iter(range(256, 512))
 BYTES = {b: chr(b if b in _PLAIN else next(_REST)) for b in range(256)}
+_SPACE = BYTES[32]
 
-SPLIT = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+#: Letters, as a set that ``re`` looks up in one step; a word with letters beyond U+FFFF is left to the next alternative.
+_LETTERS = "".join(re.findall(r"[^\W\d_]+", "".join(map(chr, range(1 << 16)))))
+_AHEAD = " ?[%s]++(?![\U00010000-\U0010ffff])" % _LETTERS
+SPLIT = re.compile(_AHEAD + r"| ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
 _SEPARATORS = re.compile("[\x1c-\x1f]").search
 
 
@@ -41,10 +45,11 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word[1:] if word[0] == " " and len(word) > 1 else word
-        # Only a match of the first alternative can hold other numbers, only white space a separator.
+        # Only a match of the first two alternatives can hold other numbers, only white space a separator.
         if core.isalnum() and not (core.isalpha() or core.isdecimal()) or core.isspace() and _SEPARATORS(core):
             raise _Odd
-        ids = array(self.code, [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(BYTES))]).tobytes()
+        marked = _SPACE + core if core is not word and core.isascii() and core.isalpha() else word.encode().decode("latin-1").translate(BYTES)
+        ids = array(self.code, [t.id for t in self.tokenize(marked)]).tobytes()
         if len(word) <= LONGEST:
             self[word] = ids
         return ids

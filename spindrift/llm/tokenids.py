@@ -42,6 +42,7 @@ MAGIC = b"HTB1"
 SPACING = 128
 BLOCK_TOKENS = 1 << 18
 MAX_LENGTH = 16
+PART = 1 << 16
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_LENGTH) -> np.ndarray:
@@ -169,6 +170,16 @@ def _slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield a, len(sizes)
 
 
+def _coded(code: Code, ids: list[bytes], dtype: np.dtype) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """Sizes, codes and checkpoints of documents, PART ids at a time, so that the arrays stay in the processor's cache."""
+    sizes, codes, marks = np.array([len(x) // dtype.itemsize for x in ids], "i8"), [], []
+    for a, b in _slices(sizes.tolist(), PART):
+        more = code.encode(np.frombuffer(b"".join(ids[a:b]), dtype), sizes[a:b])
+        codes += more[0]
+        marks += more[1]
+    return sizes, codes, marks
+
+
 def tokenized(df: DataFrame, tokenizer: str, end_id: int | None, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, ids`` (bytes), and rows with ``hist`` (counts of the task's ids) alone."""
 
@@ -217,11 +228,10 @@ def write_ids(df: DataFrame, path: str, tokenizer: str, end_id: int | None = 0,
         for batch in batches:
             ids = batch.column(1).to_pylist()
             for a, b in _slices([len(x) // dtype.itemsize for x in ids], 1 << 20):
-                sizes = np.array([len(x) // dtype.itemsize for x in ids[a:b]])
-                codes, marks = code.encode(np.frombuffer(b"".join(ids[a:b]), dtype), sizes)
+                sizes, codes, marks = _coded(code, ids[a:b], dtype)
                 doc = batch.column(0).slice(a, b - a)
                 part = np.searchsorted(bounds, doc.fill_null(-(1 << 62)).to_numpy(), "right").astype("i4")
-                yield pa.record_batch({"part": part, "doc_id": doc, "n": sizes.astype("i8"), "marks": pa.array(marks, pa.binary()), "codes": pa.array(codes, pa.binary())})
+                yield pa.record_batch({"part": part, "doc_id": doc, "n": sizes, "marks": pa.array(marks, pa.binary()), "codes": pa.array(codes, pa.binary())})
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, held, size = None, 0, [], 0

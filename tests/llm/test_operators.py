@@ -39,6 +39,15 @@ def test_bpe_equals_the_library():
         assert np.frombuffer(b.ids(x), b.dtype).tolist() == b.tokenizer.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+def test_bpe_looks_letters_up_in_a_set():
+    import public_tokenizers as p
+
+    assert "[^\\W\\d_]+" not in bpe.SPLIT.__self__.pattern.split("|")[0]
+    b = bpe.load(p.path("byte_bpe_50k.json"))
+    for x in ("ab𝒳𝒴 𝒵a", " a𐐀y", "日本𝒳 ü", "x²", "a𝟗b", "née's 'S", "", " "):
+        assert np.frombuffer(b.ids(x), b.dtype).tolist() == b.tokenizer.encode(x, add_special_tokens=False).ids, repr(x)
+
+
 @pytest.mark.parametrize("counts", [[5], [0, 3, 0], [1, 1, 1], [1 << i for i in range(20)], list(range(300))])
 def test_code_round_trip(counts):
     lengths = tokenids.code_lengths(np.array(counts), 9)
@@ -54,6 +63,22 @@ def test_code_round_trip(counts):
         code.decode(block[:-1] + bytes([block[-1] ^ 1]))
 
 
+def test_documents_are_coded_in_small_parts():
+    rnd, dtype, seen = np.random.default_rng(3), np.dtype("<u2"), []
+    docs = [rnd.integers(0, 300, n).astype(dtype) for n in (0, 70_000, *[2000] * 60, 1)]
+    code = tokenids.Code(tokenids.code_lengths(np.ones(300)))
+
+    class Seen:
+        def encode(self, ids, sizes):
+            seen.append((len(ids), len(sizes)))
+            return code.encode(ids, sizes)
+
+    sizes, codes, marks = tokenids._coded(Seen(), [d.tobytes() for d in docs], dtype)
+    assert all(n <= tokenids.PART or k == 1 for n, k in seen) and len(seen) > 2 and sizes.tolist() == [len(d) for d in docs]
+    whole = code.encode(np.concatenate(docs), sizes)
+    assert (codes, marks) == whole
+
+
 def test_token_ids(spark, tmp_path):
     import public_tokenizers as p
 
