@@ -45,6 +45,23 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, before)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def sent_by(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Rows that queries inside send to Python go in batches of about ``n_bytes``: each task holds several of them, in and outside the JVM."""
+    before = spark.conf.get(BATCH, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(BATCH, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 class Stages:
     """Tables that one query writes to the shared folder, so that lost executors cost only the running stage.
 

@@ -11,7 +11,9 @@ document with a smaller id.
    minimizer. Equal strings are aggregated (smallest and largest document) before they
    are moved and indexed, and occurrences are kept as hashes (of 96 bits: the string's, and half of its minimizer) and places.
 3. The distinct strings are dealt by minimizer to buckets; in a large corpus they are moved in
-   groups of buckets, so that they are packed by hundreds and not by few. For each bucket the windows
+   groups of buckets, so that they are packed by hundreds and not by few. A group is indexed piece by piece, so that the
+   memory of an index does not follow the group's size: a piece has whole minimizers, WINDOWS windows at most; if one minimizer has more, pieces of it have
+   whole contexts (the bytes beside the minimizing string, on the longer side: equal windows have these in common, too). For each piece the windows
    are sorted, their Burrows-Wheeler transform is run-length compressed, and its
    intervals of equal windows get the smallest document that holds them. The strings stream through it backwards from their
    sampled ends: each step extends the match by one byte with a rank on the runs and caps it at
@@ -41,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.common import Stages, partitions
+from spindrift.llm.common import Stages, partitions, sent_by
 
 ANCHOR = 24
 #: Parts in which the rows of equal texts are met.
@@ -50,6 +52,10 @@ SALTS = 256
 GROUPS, GROUP = 256, 16
 #: Windows handled at a time; a longer text is cut into overlapping parts.
 PART = 1 << 17
+#: Windows of an index, unless one minimizer has more with one context.
+WINDOWS = 1 << 17
+#: Bytes of texts that are sent to Python at a time.
+SENT = 4 << 20
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype="u8")
@@ -67,16 +73,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[n]
 
 
-def minimizers(data: np.ndarray, length: int) -> np.ndarray:
-    """Mixed minimizer of each window."""
+def _hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Mixed hash of each string of ``size`` bytes."""
     power, inverse = _powers(len(data))
-    anchor = min(ANCHOR, length)
-    width = length - anchor + 1
     sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(_BYTE[data] * power[: len(data)])])
-    h = (sums[anchor:] - sums[:-anchor]) * inverse[: len(data) - anchor + 1]
+    h = (sums[size:] - sums[:-size]) * inverse[: len(data) - size + 1]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
+    return h
+
+
+def minimizers(data: np.ndarray, length: int) -> np.ndarray:
+    """Mixed minimizer of each window."""
+    anchor = min(ANCHOR, length)
+    width = length - anchor + 1
+    h = _hashes(data, anchor)
     k = 1
     while 2 * k <= width:
         h = np.minimum(h[:-k], h[k:])
@@ -87,6 +99,20 @@ def minimizers(data: np.ndarray, length: int) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
+def contexts(data: np.ndarray, length: int) -> np.ndarray:
+    """Hash of what stands in each window beside its first string of the least hash, on the longer side. Equal windows have equal ones; it changes
+    once while windows move past that string."""
+    anchor = min(ANCHOR, length)
+    half = (length - anchor) // 2
+    if not half:
+        return np.zeros(len(data) - length + 1, "u8")
+    rows = np.lib.stride_tricks.sliding_window_view(_hashes(data, anchor), length - anchor + 1)
+    least = np.concatenate([rows[i : i + 4096].argmin(1) for i in range(0, len(rows), 4096)])
+    left = least >= half
+    c = _hashes(data, half)[np.arange(len(rows)) + np.where(left, least - half, least + anchor)]
+    return np.where(left, c, ~c)
+
+
 def _runs(raw: bytes, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Parts of a text: offset, first window of each run, its minimizer; the last run ends with the part."""
     for at in range(0, len(raw) - length + 1, PART):
@@ -181,9 +207,10 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
         ms, hs, ids, ths, ps, own = [], [], [], [], [], {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            n, kinds = len(ms), [pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary()]
+            n, kinds = len(hs), [pa.int32(), *[pa.int64()] * 4, pa.int32(), pa.binary()]
             names = ["m", "h", "id", "th", "pos", "bucket", "strings"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ms, hs, ids, ths, ps), kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[5:]], names)
+            each = [np.concatenate(ms), np.array(hs, "i8"), np.repeat(np.array(ids, "i8"), [len(x) for x in ms]), np.repeat(np.array(ths, "i8"), [len(x) for x in ms]) if by_text else None, np.concatenate(ps)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, k) if x is None else pa.array(x, k) for x, k in zip(each, kinds, strict=False)] + [pa.nulls(n, k) for k in kinds[5:]], names)
             keys = np.array(list(own), "i8").reshape(-1, 2)
             rest = list(own.values())
             bucket = keys[:, 0] >> 8 & 0x7FFFFFFF
@@ -227,36 +254,48 @@ def _second_pass(length: int, name: str, shared, bits: int, size: int, n_buckets
                             elif i > x[2]:
                                 x[2] = i
                         hs.append(h)
-                    ms += m[hit].astype("u4").view("i4").tolist()
-                    ps += starts
-                    ids += [i] * len(starts)
-                    ths += [th] * len(starts)
-                if len(ms) > 60_000:
+                    ms.append(m[hit].astype("u4").view("i4"))
+                    ps.append(first[hit] + at)
+                    ids.append(i)
+                    ths.append(th)
+                if len(hs) > 60_000:
                     yield from flush()
-        if ms:
+        if hs:
             yield from flush()
 
     return run
 
 
-def _unpack(packed: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, strings, least and greatest ids, counts, each string once."""
-    own: dict[tuple[int, int], list] = {}
+def _unpack(packed: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Minimizers, hashes, all bytes, starts, sizes, least and greatest ids, counts: each string once, in the order of the minimizers."""
+    heads, raws, before = [], [], 0
     for p in packed:
         raw = zstandard.decompress(p)
         n = int.from_bytes(raw[:8], "little")
-        ms = np.frombuffer(raw, "i4", n, 8)
-        hs, lo, hi = np.frombuffer(raw, "i8", 3 * n, 8 + 4 * n).reshape(3, n)
-        size, count = np.frombuffer(raw, "u4", 2 * n, 8 + 28 * n).reshape(2, n)
-        at = 8 + 36 * n + np.concatenate([[0], np.cumsum(size.astype("i8"))])
-        for m, h, a, b, i, j, k in zip(ms.tolist(), hs.tolist(), at.tolist(), at[1:].tolist(), lo.tolist(), hi.tolist(), count.tolist(), strict=False):
-            x = own.get((m, h))
-            if x is None:
-                own[m, h] = [raw[a:b], i, j, k]
-            else:
-                x[1], x[2], x[3] = min(x[1], i), max(x[2], j), x[3] + k
-    rest = list(own.values())
-    return np.array(list(own), "i8"), [x[0] for x in rest], *(np.array([x[c] for x in rest], "i8") for c in (1, 2, 3))
+        m = np.frombuffer(raw, "i4", n, 8)
+        h, lo, hi = np.frombuffer(raw, "i8", 3 * n, 8 + 4 * n).reshape(3, n)
+        size, count = np.frombuffer(raw, "u4", 2 * n, 8 + 28 * n).reshape(2, n).astype("i8")
+        heads.append([x.copy() for x in (m, h, lo, hi)] + [before + np.cumsum(size) - size, size, count])
+        raws.append(raw[8 + 36 * n :])
+        before += len(raws[-1])
+    m, h, lo, hi, at, size, count = (np.concatenate(x) for x in zip(*heads, strict=True))
+    order = np.lexsort((h, m))
+    m, h = m[order], h[order]
+    new = np.flatnonzero(np.concatenate([[True], (m[1:] != m[:-1]) | (h[1:] != h[:-1])]))
+    lo, hi, count = (f.reduceat(x[order], new) for f, x in ((np.minimum, lo), (np.maximum, hi), (np.add, count)))
+    return m[new], h[new], b"".join(raws), at[order[new]], size[order[new]], lo, hi, count
+
+
+def _pieces(m: np.ndarray, windows: np.ndarray, most: int) -> list[int]:
+    """Where strings in the order of their minimizers are cut into pieces of whole minimizers, with ``most`` windows or else one minimizer."""
+    start = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+    cuts, n = [], most
+    for i, k in zip(start.tolist(), np.add.reduceat(windows, start).tolist(), strict=True):
+        if n + k > most:
+            cuts.append(i)
+            n = 0
+        n += k
+    return [*cuts, len(m)]
 
 
 class RunLengthIndex:
@@ -273,26 +312,31 @@ class RunLengthIndex:
         sizes = np.array([len(s) for s in strings])
         begin = np.cumsum(sizes + 1) - sizes - 1
         text = np.frombuffer(b"\0".join(strings) + bytes(depth + 1), "u1")
+        kind = "i4" if len(text) < 1 << 31 else "i8"
         n_rows = sizes - depth + 2
         self.first = np.cumsum(n_rows) - n_rows  # a string's first row, before sorting
-        who = np.repeat(np.arange(len(strings)), n_rows)
-        offset = np.arange(len(who)) - self.first[who]
-        at = begin[who] + offset
+        who = np.repeat(np.arange(len(strings), dtype=kind), n_rows)
+        at = np.arange(len(who), dtype=kind) + np.repeat((begin - self.first).astype(kind), n_rows)
         key = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, depth)[at]).view(f"S{depth}").ravel()
-        order = np.argsort(key)
-        key = key[order]
-        whole = (offset < n_rows[who] - 1)[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        self.start = np.flatnonzero(new)  # first row of each interval
-        self.interval = np.cumsum(new) - 1
-        self.least = np.minimum.reduceat(np.where(whole, docs[who[order]], np.iinfo("i8").max), self.start)
-        self.row = np.empty(len(order), "i8")
-        self.row[order] = np.arange(len(order))
-        self.reached = np.flatnonzero(whole)
+        order = np.argsort(key).astype(kind)
+        new = np.ones(len(order), bool)
+        for i in range(1, len(order), 1 << 14):  # not all keys a second time
+            some = key[order[i - 1 : i + (1 << 14)]]
+            new[i : i + (1 << 14)] = some[1:] != some[:-1]
+        del key
+        who, at = who[order], at[order]
+        whole = at < (begin + n_rows - 1)[who]
+        self.start = np.flatnonzero(new).astype(kind)  # first row of each interval
+        self.interval = np.cumsum(new, dtype=kind) - 1
+        self.least = np.minimum.reduceat(np.where(whole, docs[who], np.iinfo("i8").max), self.start)
+        self.row = np.empty(len(order), kind)
+        self.row[order] = np.arange(len(order), dtype=kind)
+        self.reached = np.flatnonzero(whole).astype(kind)
+        last = np.where(at > begin[who], text[at - 1].astype("i2"), self.END)
+        del who, at, whole, new
         self.text, self.begin, self.windows = text, begin, n_rows - 1
-        last = np.where(offset[order] > 0, text[at[order] - 1].astype("i8"), self.END)
         edge = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
-        self.run_at, self.run_char = edge, last[edge]
+        self.run_at, self.run_char = edge, last[edge].astype("i8")
         run_size = np.diff(np.append(edge, len(order)))
         by_char = np.lexsort((np.arange(len(edge)), self.run_char))
         self.key = self.run_char[by_char] * len(edge) + by_char
@@ -318,30 +362,62 @@ class RunLengthIndex:
                 row = self.start[self.interval[self.extend(row, self.text[self.begin[lanes] + place].astype("i8"))]]
 
 
-def _index(length: int, often: int, n_groups: int, n_buckets: int):
-    """What the indexes of a group's buckets say of their strings: ``a`` to ``b`` is held by document ``low``; hot: strings that occur more than ``often`` times."""
-
-    def one(keys: np.ndarray, strings: list[bytes], lo: np.ndarray, hi: np.ndarray, count: np.ndarray) -> pa.Table:
-        index = RunLengthIndex(strings, lo, length)
-        parts = list(index.stream())
-        who, off, low = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        keep = low < hi[who]
-        who, off, low = who[keep], off[keep], low[keep]
-        order = np.lexsort((off, who))
-        who, off, low = who[order], off[order], low[order]
-        first = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (off[1:] != off[:-1] + 1) | (low[1:] != low[:-1])])) if len(who) else np.empty(0, "i8")
-        stop = np.append(first[1:], len(who)) - 1 if len(first) else first
-        own = keys[who[first]]
-        hot = (count[who[first]] > often).astype("i4")
-        return pa.table({"m": own[:, 0].astype("i4"), "h": np.ascontiguousarray(own[:, 1]), "a": off[first], "b": off[stop] + length, "low": low[first], "hot": hot})
+def _divided(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Strings cut where the context of their windows changes: contexts, numbers of the strings, offsets in them, and what is cut out; in the order of the contexts."""
+    sizes = np.array([len(x) for x in strings])
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // PART, prepend=-1)).tolist()
+    found, out = [], []
+    for begin, end in zip(cuts, [*cuts[1:], len(strings)], strict=True):
+        raw, n = b"".join(strings[begin:end]), sizes[begin:end]
+        start = np.cumsum(n) - n
+        who = np.repeat(np.arange(end - begin), n - length + 1)
+        at = np.arange(len(who)) + (length - 1) * who  # as each string before has so many bytes more than windows
+        c = contexts(np.frombuffer(raw, "u1"), length)[at]
+        first = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (who[1:] != who[:-1])]))
+        stop = at[np.append(first[1:], len(who)) - 1] + length
+        at, who = at[first], who[first]
+        found.append((c[first], who + begin, at - start[who]))
+        out += [raw[i:j] for i, j in zip(at.tolist(), stop.tolist(), strict=True)]
+    c, who, at = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(c, kind="stable")
+    return c[order], who[order], at[order], [out[i] for i in order.tolist()]
+
+
+def _index(length: int, often: int):
+    """What the indexes of a group's pieces say of their strings: ``a`` to ``b`` is held by document ``low``; hot: strings that occur more than ``often`` times."""
+
+    def one(m: np.ndarray, h: np.ndarray, strings: list[bytes], lo: np.ndarray, hi: np.ndarray, count: np.ndarray, at: np.ndarray) -> pa.Table:
+        # Of each string the document that its last windows have in common, and where they end; a span is kept where that changes.
+        none = np.iinfo("i8").max
+        held, stop, found = np.full(len(strings), none), np.zeros(len(strings), "i8"), []
+        for who, off, low in RunLengthIndex(strings, lo, length).stream():
+            low = np.where(low < hi[who], low, none)
+            new = low != held[who]
+            if new.any():
+                who, off, low = who[new], off[new], low[new]
+                old = held[who]
+                ended = old != none
+                found.append((who[ended], off[ended] + 1, stop[who[ended]], old[ended]))
+                held[who], stop[who] = low, off
+        who = np.flatnonzero(held != none)
+        found.append((who, np.zeros(len(who), "i8"), stop[who], held[who]))
+        who, first, last, low = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table({"m": m[who], "h": h[who], "a": first + at[who], "b": last + at[who] + length, "low": low, "hot": (count[who] > often).astype("i4")})
 
     def run(table: pa.Table) -> pa.Table:
-        keys, strings, *rest = _unpack(table.column("strings").to_pylist())
-        bucket = (keys[:, 0] >> 8 & 0x7FFFFFFF) % (n_groups * n_buckets) // n_groups
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-        parts = [order[a:b] for a, b in zip(cut, cut[1:], strict=False) if a < b]
-        return pa.concat_tables([one(keys[x], [strings[i] for i in x.tolist()], *(r[x] for r in rest)) for x in parts])
+        m, h, raw, at, size, lo, hi, count = _unpack(x.as_py() for x in table.column("strings"))
+        cuts = _pieces(m, size - length + 1, WINDOWS)
+        found = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            strings = [raw[i : i + n] for i, n in zip(at[a:b].tolist(), size[a:b].tolist(), strict=True)]
+            if (size[a:b] - length + 1).sum() <= WINDOWS:
+                found.append(one(m[a:b], h[a:b], strings, lo[a:b], hi[a:b], count[a:b], np.zeros(b - a, "i8")))
+                continue
+            c, who, off, strings = _divided(strings, length)
+            parts = _pieces(c, np.array([len(x) - length + 1 for x in strings]), WINDOWS)
+            for i, j in zip(parts, parts[1:], strict=False):
+                found.append(one(*(x[a + who[i:j]] if isinstance(x, np.ndarray) else x[i:j] for x in (m, h, strings, lo, hi, count)), off[i:j]))
+        return pa.concat_tables(found)
 
     return run
 
@@ -386,7 +462,7 @@ def _copies(light: DataFrame, keys: list[str], length: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 1 << 20, max_bits: int = 29, hot_rows: int = 1 << 17) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row.
 
-    bucket_bytes: size of an index; max_bits: the bit map has 2^max_bits bits at most; hot_rows: strings that occur
+    bucket_bytes: size of a bucket; max_bits: the bit map has 2^max_bits bits at most; hot_rows: strings that occur
     more than once in so many bytes of the corpus are hot. As every window belongs to one occurrence, hot
     strings have fewer than hot_rows windows together, which bounds what is broadcast of them.
     """
@@ -405,15 +481,17 @@ def remove_repeats(docs: DataFrame, *, length: int = 50, id_col: str = "doc_id",
     # A bucket of minimizers comes from about 16 MB of texts.
     bits = min(size - 12, max(2, (partitions(spark) - 1).bit_length(), (total >> 24).bit_length()))
     packed = own.where("id is not null").select("t").mapInArrow(_first_pass(length, bits), "bucket int, m binary, t binary")
-    parts = packed.groupBy("bucket").applyInArrow(_bitmap(bits, size), "bucket int, part binary").collect()  # 2^max_bits bits together at most, compressed
+    with sent_by(spark, SENT):
+        parts = packed.groupBy("bucket").applyInArrow(_bitmap(bits, size), "bucket int, part binary").collect()  # 2^max_bits bits together at most, compressed
     shared = spark.sparkContext.broadcast([(r["bucket"], r["part"]) for r in parts])
     del packed, parts
     n = max(1, -(-total // (2 * bucket_bytes)))  # a bucket is about this many bytes where half the corpus is repeated
     per = max(1, min(GROUP, n // GROUPS))
     n_groups = -(-n // per)
     passed = own.mapInArrow(_second_pass(length, stages.root, shared, bits, size, n_groups, by_text), "m int, h long, id long, th long, pos long, bucket int, strings binary")
-    seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
-    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows, n_groups, per), "m int, h long, a long, b long, low long, hot int")
+    with sent_by(spark, SENT):
+        seen = stages.put(passed.withColumn("kind", F.col("bucket").isNotNull().cast("int")), "seen", ["kind"])
+    found = seen.where("kind = 1").select("bucket", "strings").groupBy("bucket").applyInArrow(_index(length, total // hot_rows), "m int, h long, a long, b long, low long, hot int")
     found = stages.put(found, "found", ["hot"])
     stages.drop("seen/kind=1")
     del passed

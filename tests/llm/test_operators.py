@@ -1,10 +1,14 @@
 import collections
 import random
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from spindrift.llm import bpe, common, embdedup, linededup, minhash, mixing, packing, registry, repeats, tokenids, topk, toxicity, urlfilter
@@ -437,3 +441,46 @@ def test_buckets_of_a_large_corpus_are_moved_in_groups(spark, monkeypatch):
     assert got == brute_repeats(rows)
     total = sum(len((r[1] or "").encode()) for r in rows)
     assert made[0] <= -(-total // 1000) // 8
+
+
+def test_index_of_a_very_common_minimizer_takes_bounded_memory():
+    """Strings of one minimizer with very many contexts: the index is made of pieces, and each window still gets its least document."""
+    rnd, common_part = random.Random(7), b"the very common passage!"
+    bits = [bytes(rnd.choice(b"abcdefgh ") for _ in range(4)) for _ in range(12)]
+    side = lambda: b"".join(rnd.choice(bits) for _ in range(7))[:26]
+    strings = sorted({side() + common_part + side() for _ in range(24_000)})
+    n = len(strings)
+    h = np.array([xxhash.xxh64_intdigest(x) - (1 << 63) for x in strings])
+    lo = np.random.default_rng(1).permutation(n)
+    parts = (np.full(n, 77 << 8, "i4"), h, lo, np.full(n, n + 1), np.array([len(x) for x in strings], "u4"), np.ones(n, "u4"))
+    packed = zstandard.compress(n.to_bytes(8, "little") + b"".join(x.tobytes() for x in parts) + b"".join(strings))
+    table = pa.table({"bucket": pa.array([0], pa.int32()), "strings": pa.array([packed], pa.binary())})
+    windows = sum(len(x) - 49 for x in strings)
+    assert windows > 4 * repeats.WINDOWS
+    index = repeats._index(50, 10)
+    tracemalloc.start()
+    found = index(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * windows
+    got = {(x["h"], k): x["low"] for x in found.to_pylist() for k in range(x["a"], x["b"] - 49)}
+    least = {}
+    for x, d in zip(strings, lo.tolist(), strict=True):
+        for k in range(len(x) - 49):
+            least[x[k : k + 50]] = min(d, least.get(x[k : k + 50], d))
+    assert got == {(i, k): least[x[k : k + 50]] for x, i in zip(strings, h.tolist(), strict=True) for k in range(len(x) - 49)}
+
+
+@pytest.mark.parametrize("length", [50, 25, 10])
+def test_repeats_of_a_very_common_passage(spark, monkeypatch, length):
+    """Pieces of very few windows give the same result, and the session's settings stay as they were."""
+    rnd, passage = random.Random(9), "a passage that is found nearly everywhere, and more"
+    word = lambda: rnd.choice(["an ", "be ", "co ", "du ", "é ", "fo "])
+    words = lambda: "".join(word() for _ in range(rnd.randint(0, 14)))
+    rows = [(i, words() + passage[rnd.randint(0, 9) :] + words() + passage * rnd.randint(0, 2) + words(), "", 0, 0) for i in range(150)]
+    rows += [(200, "ab" * 300, "", 0, 0), (201, "x" + "ab" * 200, "", 0, 0), (202, None, "", 0, 0)]
+    monkeypatch.setattr(repeats, "WINDOWS", 40)
+    before = spark.conf.get(common.BATCH)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(spark.createDataFrame(rows, DOC).repartition(4), length=length).collect()}
+    assert got == brute_repeats(rows, length)
+    assert spark.conf.get(common.BATCH) == before
